@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -39,7 +38,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, codec: str = "zstd", partition_rows: int | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a reread, not a recomputation.
@@ -50,6 +49,17 @@ def stored(df: DataFrame, name: str, codec: str = "zstd", partition_rows: int |
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """These names, each with underscores added until ``df`` has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def row_slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Short slices of Arrow batches, so that few long texts are decoded at once."""
     for batch in batches:
@@ -61,7 +71,3 @@ def forget(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def repo_root() -> str:
-    return os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidalbook.llm._shared import row_slices, stored
+from tidalbook.llm._shared import fresh, row_slices, stored
 
 WINDOW = 13
 BLOCK_WORDS = 4_000_000
@@ -203,5 +203,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     Rows without a doc_id stay.
     """
     found = find_contamination(docs, benchmark, window, block_words)
-    gone = stored(found.where("contaminated").select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
-    return docs.join(gone, docs.doc_id == gone._gone, "left_anti")
+    (name,) = fresh(docs, "gone")
+    gone = stored(found.where("contaminated").select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidalbook.llm._shared import forget, new_path, row_slices, stored
+from tidalbook.llm._shared import forget, fresh, new_path, row_slices, stored
 
 SEED = 42
 BLOCKS = 8
@@ -248,9 +248,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> Dat
 def keep_one(docs: DataFrame, size: int = 5, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` but those whose text is a near copy of a kept one.
 
-    Of each component the smallest doc_id stays (all rows that carry it).
-    Columns stay as they are. Rows without a doc_id stay.
+    Of each component the smallest doc_id stays. Rows that share a doc_id are
+    one document: they stay or go together, and go if one of their texts is a
+    near copy of an earlier document. Columns stay as they are. Rows without a
+    doc_id stay.
     """
     found = near_duplicates(docs, size, radius)
-    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(gone, docs.doc_id == gone._gone, "left_anti")
+    (name,) = fresh(docs, "gone")
+    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct(), "near-copies")
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")

@@ -99,6 +99,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     """
     one = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     spark = docs.sparkSession
+    docs = docs.select("doc_id", "text")
     known = docs.select("doc_id").where("doc_id is not null").distinct()
     one = one.join(known, "doc_id", "left_semi")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
