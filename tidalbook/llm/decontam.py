@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidalbook.llm._shared import fresh, row_slices, stored
 
 WINDOW = 13
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 1_000_000
 
 #: Lower-cases A-Z, keeps 0-9, a-z and all bytes beyond ASCII, and blanks the rest.
 _FOLD = bytes.maketrans(

@@ -52,9 +52,9 @@ ENDS_P = frozenset("address article aside blockquote details div dl fieldset fig
 CHROME = frozenset("aside button dialog fieldset footer form header input label legend menu nav option select textarea".split())
 CHROME_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 CHROME_NAMES = frozenset(
-    "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer form gdpr "
+    "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment commentlist comments consent cookie cookies copyright disclaimer disqus footer form gdpr "
     "header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo promoted promotion related reply replies "
-    "search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "respond search share sharing sidebar sidenav signup social sponsor sponsored subscribe toolbar widget".split()
 )
 CONTENT = frozenset("article main".split())
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
