@@ -164,7 +164,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = EM_ROUNDS) ->
         spread = np.sqrt(np.maximum(np.diag(cover), 1e-9))
         correlated = np.clip(cover / np.outer(spread, spread), 0, 1)
         share = 1 / np.maximum(correlated.sum(axis=1), 1)
-        odds = np.log(toxic / clean) + (votes * (np.log(fires / falsely) * share)) .sum(axis=1) + ((1 - votes) * (np.log((1 - fires) / (1 - falsely)) * share)).sum(axis=1)
+        odds = np.log(toxic / clean) + (votes * (np.log(fires / falsely) * share)).sum(axis=1) + ((1 - votes) * (np.log((1 - fires) / (1 - falsely)) * share)).sum(axis=1)
         odds += np.where(gold == 1, 1, -1) * np.log(GOLD_ACCURACY / (1 - GOLD_ACCURACY))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - posterior).max() < 1e-4:
@@ -204,7 +204,7 @@ def _vote_table(sample: DataFrame, words: list[str], stems: list[str]) -> tuple[
             yield pa.RecordBatch.from_arrays([part.column(1), pa.array([r.tobytes() for r in np.packbits(rows, axis=1)], pa.binary())], names=["toxic", "votes"])
 
     got = sample.mapInArrow(run, "toxic int, votes binary").orderBy("toxic", "votes").collect()  # 2 * TRAIN_ROWS rows of VOTERS bits
-    bits = np.array([np.frombuffer(r.votes, dtype=np.uint8) for r in got], dtype=np.uint8).reshape(len(got), -1)
+    bits = np.array([np.frombuffer(r.votes, dtype=np.uint8) for r in got], dtype=np.uint8).reshape(len(got), -(-width // 8))
     return np.unpackbits(bits, axis=1, count=width).astype(float), np.array([r.toxic for r in got])
 
 
