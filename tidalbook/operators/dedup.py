@@ -71,16 +71,18 @@ def ordered_unique(df: DataFrame, key: str, order: str) -> DataFrame:
     """(key, place): each key once, by its first row; place counts from 1.
 
     Places are counted per range of the order and added up, not in one window
-    over all rows.
+    over all rows. The ranges' bounds are quantiles, one for each shuffle
+    partition, so a row is in the same range whenever it is computed. ``order``
+    is a number or a time; rows without one come first.
     """
     first = df.groupBy(key).agg(F.min(order).alias(order))
-    parts = first.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranged = first.repartitionByRange(int(parts), order).sortWithinPartitions(order)
-    marked = ranged.withColumn("_id", F.monotonically_increasing_id())
-    task, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    placed = marked.select(key, order, task.alias("_task"), place.alias("_place"))
-    sizes = placed.groupBy("_task").agg(F.max("_place").alias("_size"))
-
-    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
-    offsets = sizes.select("_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    return placed.join(offsets, "_task").select(key, order, (F.col("_place") + F.col("_offset")).alias("place"))
+    parts = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = first.agg(F.percentile_approx(order, [k / parts for k in range(1, parts)] or [0.5])).first()[0]
+    bucket = F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds or [])))), lambda b: b < F.col(order))) if bounds else F.lit(0)
+    marked = first.withColumn("_range", bucket)
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(order, key))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    sizes = marked.groupBy("_range").agg(F.count("*").alias("_size"))
+    starts = sizes.select(F.col("_range").alias("_of"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    placed = marked.withColumn("_place", own).join(F.broadcast(starts), F.col("_range") == F.col("_of"))  # one row per range
+    return placed.select(key, (F.col("_place") + F.col("_start")).alias("place"))

@@ -322,9 +322,10 @@ def gaps_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered(f"""{EV}, d AS (SELECT DISTINCT symbol, CAST(event_ts AS DATE) AS day FROM ev WHERE arrival_seq % 4 = 0), span AS (SELECT symbol, min(day) AS a, max(day) AS z FROM d GROUP BY symbol),
-cal AS (SELECT symbol, CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS day FROM span) SELECT symbol, day FROM cal ANTI JOIN d USING (symbol, day)""")
+cal AS (SELECT symbol, CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS day FROM span) SELECT symbol, strftime(day, '%Y-%m-%d') AS day FROM cal ANTI JOIN d USING (symbol, day)""")
 def missing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gaps.missing_dates(market_events(spark, sf_dir).where("arrival_seq % 4 = 0"), ["symbol"], F.to_date("event_ts"))
+    found = gaps.missing_dates(market_events(spark, sf_dir).where("arrival_seq % 4 = 0"), ["symbol"], F.to_date("event_ts"))
+    return found.select("symbol", F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
 RECOVERED = "(SELECT CASE WHEN event_id % 97 = 5 THEN event_id - 1 ELSE event_id END AS cursor FROM events WHERE event_id % 50 <> 7)"
