@@ -203,7 +203,8 @@ def _vote_table(sample: DataFrame, words: list[str], stems: list[str]) -> tuple[
                 rows[k, model.votes(text)] = True
             yield pa.RecordBatch.from_arrays([part.column(1), pa.array([r.tobytes() for r in np.packbits(rows, axis=1)], pa.binary())], names=["toxic", "votes"])
 
-    got = sample.mapInArrow(run, "toxic int, votes binary").orderBy("toxic", "votes").collect()  # 2 * TRAIN_ROWS rows of VOTERS bits
+    got = sample.mapInArrow(run, "toxic int, votes binary").collect()  # 2 * TRAIN_ROWS rows of VOTERS bits
+    got.sort(key=lambda r: (r.toxic, bytes(r.votes)))  # sums of floats come out the same whatever task was first
     bits = np.array([np.frombuffer(r.votes, dtype=np.uint8) for r in got], dtype=np.uint8).reshape(len(got), -(-width // 8))
     return np.unpackbits(bits, axis=1, count=width).astype(float), np.array([r.toxic for r in got])
 
