@@ -143,8 +143,13 @@ def brute_print(text, size):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_components(prints, radius=2):
-    """prints: (doc_id, fingerprint) -> doc_id -> smallest doc_id reachable."""
+def similarity_of(a, b):
+    x, y = ({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / max(1, len(x | y))
+
+
+def brute_components(prints, radius=2, texts=None):
+    """prints: (doc_id, fingerprint) -> doc_id -> smallest doc_id reachable; texts: also by similarity."""
     root = {i: i for i, _ in prints}
 
     def top(i):
@@ -154,7 +159,7 @@ def brute_components(prints, radius=2):
 
     for k, (i, a) in enumerate(prints):
         for j, b in prints[:k]:
-            if (a ^ b).bit_count() <= radius:
+            if (a ^ b).bit_count() <= radius or texts and similarity_of(texts[i], texts[j]) >= 0.8:
                 x, y = sorted((top(i), top(j)))
                 root[y] = x
     return {i: top(i) for i in root}
@@ -168,6 +173,25 @@ def test_simhash_query(spark):
     assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in got) == sorted((i, f"{p:016x}", want[i]) for i, p in prints)
 
 
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_keep_one_finds_similar_texts(spark):
+    rng = random.Random(8)
+    rows, bases = [], [[f"w{rng.randrange(5000)}" for _ in range(n)] for n in (60, 120, 200, 400, 900)]
+    for base in bases:
+        rows += [(len(rows) + k, edited(rng, base, k % 4 * len(base) // 100)) for k in range(40)]
+    rows += [(1000 + k, edited(rng, bases[k % 5], len(bases[k % 5]) // 4)) for k in range(20)]  # too different
+    kept = {r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()}
+    roots = brute_components([(i, brute_print(t, 5)) for i, t in rows], texts=dict(rows))
+    assert kept == {i for i, root in roots.items() if i == root}
+    assert len(kept) < len(rows) // 2
+
+
 def test_near_chains_of_fingerprints(spark):
     rng = random.Random(11)
     prints, value = [], rng.getrandbits(64)
@@ -216,7 +240,7 @@ def test_pipeline_stages_one_by_one(spark):
     assert pairs(lines) == sorted((i, str(t)) for i, t in brute_lines([(r.doc_id, r.text) for r in clean.collect()]))
 
     near = stages["near_dedup"](spark, lines, SMALL)
-    roots = brute_components([(r.doc_id, brute_print(r.text, 5)) for r in lines.collect()])
+    roots = brute_components([(r.doc_id, brute_print(r.text, 5)) for r in lines.collect()], texts={r.doc_id: r.text or "" for r in lines.collect()})
     assert near.columns == docs.columns
     assert {r.doc_id for r in near.collect()} == {i for i, root in roots.items() if i == root}
 

@@ -25,10 +25,24 @@ How it scales
 Trees are carried to their queries by the shuffle and not by broadcast: the
 trees of all shards together grow with the corpus, so no size bound would hold
 for such a broadcast.
+
+Similarity
+----------
+A radius of 2 finds texts that share nearly all shingles. Two texts whose
+shingle sets have a Jaccard similarity of 0.8 differ in about 10 of 64 bits,
+and no sharding by bits finds such pairs in work linear in the corpus. So
+``keep_one``, which promises that similarity, also makes partial fingerprints:
+each of GROUPS is the SimHash of the LEAST shingles that come first in an order
+of its own. Two texts of similarity 0.8 have an equal one with probability
+1 - (1 - 0.8**3)**10 = 0.999. Each member of such a bucket is compared with the
+bucket's smallest and largest node (so no bucket is expanded into its pairs),
+pairs whose full fingerprints are further apart than FAR bits are left out, and
+the rest are confirmed by the exact similarity of their shingle sets.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -44,6 +58,12 @@ SEED = 42
 BLOCKS = 8
 RADIUS = 2
 HASHES_AT_ONCE = 1 << 16
+SIMILARITY = 0.8
+GROUPS, LEAST = 10, 3
+FAR = 24
+
+#: An odd factor for each group; the products order the shingles.
+FACTORS = np.array([int.from_bytes(hashlib.sha256(bytes([g])).digest()[:8], "little") | 1 for g in range(GROUPS)], dtype=np.uint64)
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -59,9 +79,8 @@ def shingle_hashes(text: str | None, size: int) -> np.ndarray:
     return np.array([digest(s, SEED) for s in shingles], dtype=np.uint64)
 
 
-def fingerprint(text: str | None, size: int = 3) -> int:
-    """The unsigned fingerprint of one text; 0 if it has no words."""
-    hashes = shingle_hashes(text, size)
+def majority(hashes: np.ndarray) -> int:
+    """Bits that are set in over half of the hashes; 0 if there are none."""
     if not len(hashes):
         return 0
     counts = np.zeros(64, dtype=np.int64)
@@ -72,19 +91,40 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
+def fingerprint(text: str | None, size: int = 3) -> int:
+    """The unsigned fingerprint of one text; 0 if it has no words."""
+    return majority(shingle_hashes(text, size))
+
+
+def partial_fingerprints(hashes: np.ndarray) -> list[int]:
+    """For each group the fingerprint of the different shingles that its order puts first."""
+    distinct = np.unique(hashes)
+    if len(distinct) <= LEAST:
+        return [majority(distinct)] * GROUPS
+    return [majority(distinct[np.argpartition(distinct * factor, LEAST - 1)[:LEAST]]) for factor in FACTORS]
+
+
+def fingerprints(docs: DataFrame, size: int = 3, parts: bool = False) -> DataFrame:
     """(doc_id, fp): fp is the fingerprint's 64 bits as a signed bigint.
 
-    A null text counts as empty. Rows with equal doc_id each get a row.
+    A null text counts as empty. Rows with equal doc_id each get a row. With
+    ``parts`` there is also an array of the partial fingerprints.
     """
 
+    def signed(values: list[int]) -> np.ndarray:
+        return np.array(values, dtype=np.uint64).view(np.int64)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_slices(batches):
-            found = [fingerprint(t, size) for t in part.column(1).to_pylist()]
-            signed = np.array(found, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(signed)], names=["doc_id", "fp"])
+            hashes = [shingle_hashes(t, size) for t in part.column(1).to_pylist()]
+            columns = [part.column(0), pa.array(signed([majority(h) for h in hashes]))]
+            if parts:
+                flat = signed([p for h in hashes for p in partial_fingerprints(h)])
+                ends = np.arange(0, len(flat) + 1, GROUPS, dtype=np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "parts"][: len(columns)])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint" + ", parts array<bigint>" * parts)
 
 
 class BKTree:
@@ -178,6 +218,46 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return shards.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def similar_links(docs: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(a, b), a < b: node pairs of one bucket whose shingle sets have the similarity.
+
+    ``nodes`` has one row (node, fp, parts) for each different fingerprint; a
+    node is a doc_id of ``docs``. If several texts have that doc_id, one that is
+    similar is enough.
+    """
+    members = nodes.select("node", "fp", F.posexplode("parts").alias("kind", "part"))
+    end = F.struct("node", "fp")
+    buckets = members.groupBy(F.col("kind").alias("of"), F.col("part").alias("is")).agg(F.min(end).alias("low"), F.max(end).alias("high")).where("low.node <> high.node")
+    met = members.join(buckets, (F.col("kind") == F.col("of")) & (F.col("part") == F.col("is"))).select("node", "fp", F.explode(F.array("low", "high")).alias("end"))
+    met = met.where((F.col("node") != F.col("end.node")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("end.fp"))) <= FAR))
+    pairs = stored(met.select(F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b")).distinct(), "met")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    texts = stored(texts.join(wanted, "id", "left_semi"), "texts-met")
+    left, right = texts.toDF("left_id", "left_text"), texts.toDF("right_id", "right_text")
+    both = pairs.join(left, F.col("a") == F.col("left_id")).join(right, F.col("b") == F.col("right_id")).select("a", "b", "left_text", "right_text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, np.ndarray] = {}
+
+        def shingles(text: str) -> np.ndarray:
+            if text not in known:
+                if len(known) >= 64:
+                    known.clear()
+                known[text] = np.unique(shingle_hashes(text, size))
+            return known[text]
+
+        for part in row_slices(batches):
+            kept = []
+            for one, other in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                x, y = shingles(one or ""), shingles(other or "")
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                kept.append(common > 0 and common >= similarity * (len(x) + len(y) - common))
+            yield part.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node that each linked node reaches.
 
@@ -227,17 +307,26 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b")
 
 
-def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs`` (doc_id, text; more columns are ignored).
 
-    component_id is the smallest doc_id reachable, itself included. Empty and
-    null texts have fingerprint zero and are linked like others. Repeated rows
-    each keep a row. A null doc_id keeps its row and fingerprint; it takes the
-    component of its fingerprint, which is null if no doc_id is known there.
+    component_id is the smallest doc_id reachable, itself included. Links are
+    those of the fingerprints within the radius and, with ``similarity``, those
+    of texts whose shingle sets are that similar. Empty and null texts have
+    fingerprint zero and are linked like others. Repeated rows each keep a row.
+    A null doc_id keeps its row and fingerprint; it takes the component of its
+    fingerprint, which is null if no doc_id is known there.
     """
-    prints = stored(fingerprints(docs, size), "fingerprints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    found = components(links(nodes.where("node is not null"), radius))
+    prints = stored(fingerprints(docs, size, similarity is not None), "fingerprints")
+    if similarity is None:
+        nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
+    else:
+        nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.min_by("parts", "doc_id").alias("parts")), "nodes")
+    known = nodes.where("node is not null")
+    edges = links(known, radius)
+    if similarity is not None:
+        edges = edges.union(similar_links(docs, known, size, similarity))
+    found = components(edges)
     roots = stored(
         nodes.join(found, "node", "left").select(F.col("fp").alias("node_fp"), F.coalesce("root", "node").alias("component_id")),
         "roots",
@@ -245,15 +334,16 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> Dat
     return prints.join(roots, prints.fp == roots.node_fp, "left").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, size: int = 5, radius: int = RADIUS) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 5, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` but those whose text is a near copy of a kept one.
 
-    Of each component the smallest doc_id stays. Rows that share a doc_id are
-    one document: they stay or go together, and go if one of their texts is a
-    near copy of an earlier document. Columns stay as they are. Rows without a
-    doc_id stay.
+    Near copies have shingle sets of that Jaccard similarity or more, or
+    fingerprints within the radius. Of each component the smallest doc_id
+    stays. Rows that share a doc_id are one document: they stay or go together,
+    and go if one of their texts is a near copy of an earlier document. Columns
+    stay as they are. Rows without a doc_id stay.
     """
-    found = near_duplicates(docs, size, radius)
+    found = near_duplicates(docs, size, radius, similarity)
     (name,) = fresh(docs, "gone")
     gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct(), "near-copies")
     return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
