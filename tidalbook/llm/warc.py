@@ -298,8 +298,10 @@ SCHEMA = "page_id bigint, url string, payload_bytes bigint, payload_digest strin
 def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
     """A row for each record of the packages named in the column ``path``.
 
-    payload is null for revisits, and for all without ``payloads``.
+    payload is null for revisits, and for all without ``payloads``. Each task
+    reads one package, however short the rows that name them are.
     """
+    tasks = max(1, packages.count())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -317,7 +319,7 @@ def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
                             rows = []
                     yield _batch(rows)
 
-    return packages.select("path").repartition("path").mapInArrow(run, SCHEMA)
+    return packages.select("path").repartition(tasks).mapInArrow(run, SCHEMA)
 
 
 def _batch(rows: list[dict[str, object]]) -> pa.RecordBatch:
