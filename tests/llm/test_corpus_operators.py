@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, rows_of
 from tests.llm.frames import documents, nothing, texts
@@ -136,6 +137,14 @@ def test_line_dedup_cases(spark):
     assert line_dedup.drop_recurring_lines(nothing(docs)).count() == 0
 
 
+def test_marks_hold_for_every_wanted_key_and_for_hardly_any_other(spark):
+    keys = spark.range(40_000).selectExpr("xxhash64(id) AS key", "id")
+    wanted = keys.where("id % 3 = 0").select("key")
+    got = line_dedup._with_mark(keys, F.col("key"), wanted, "mark").selectExpr("count_if(mark and id % 3 = 0)", "count_if(mark and id % 3 <> 0)", "count(*)").first()
+    assert got[0] == 13_334 and got[1] < 100 and got[2] == 40_000
+    assert line_dedup._with_mark(keys, F.col("key"), wanted.limit(0), "mark").where("mark").count() == 0
+
+
 def brute_print(text, size):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[k : k + size]) for k in range(max(1, len(words) - size + 1))] if words else []
