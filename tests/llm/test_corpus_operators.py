@@ -60,6 +60,12 @@ def test_label_model_finds_hidden_labels():
     assert correlated[0, 4] > 0.95
 
 
+def test_toxicity_rejects_alike_whatever_the_bound_of_the_sample(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", name) for name in ("documents", "labels"))
+    share = {r.rows: r.share for rows in (300, 8000) for r in toxicity.score_toxicity(docs, labels, rows).agg(F.lit(rows).alias("rows"), F.avg("predicted").alias("share")).collect()}
+    assert share[300] == pytest.approx(share[8000], rel=0.15)
+
+
 def brute_lines(rows, depth=3, similarity=0.8):
     """Texts after dropping recurring lines, by the rules in the module's docstring, in plain loops."""
     lines = []

@@ -16,7 +16,9 @@
    fire, is fitted to the posterior labels. Its output is the score.
 
 Bounds: the sample has at most TRAIN_ROWS labelled rows of each class, those
-with the smallest hash of the doc_id; at most VOTERS voters. What the driver
+with the smallest hash of the doc_id; at most VOTERS voters. Both classes are
+counted over all allowed labels, and sampled rows are weighted by the true
+shares of the classes, so the bound does not move the threshold. What the driver
 holds is one vote bit per sampled row and voter, whatever the corpus. Scoring
 is map-only over whole texts. A score sees the text alone.
 """
@@ -93,9 +95,10 @@ class Model:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled rows of either class, none held out.
+    """(text, toxic, weight) of at most ``rows`` labelled rows of either class, none held out.
 
-    A doc_id with several labels is toxic if one of them says so.
+    weight restores the shares that the classes have among all allowed labels;
+    its mean over the sampled labels is 1. A doc_id with several labels is toxic if one of them says so.
     """
     one = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     spark = docs.sparkSession
@@ -105,9 +108,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     one = stored(one, "labels")
     picked = [one.where(F.col("toxic") == v).orderBy(*order).limit(rows) for v in (0, 1)]
-    chosen = [r for p in picked for r in p.collect()]  # 2 * rows short rows at most
-    sample = spark.createDataFrame(chosen, one.schema).withColumnRenamed("doc_id", "_id")
-    return docs.join(F.broadcast(sample), docs.doc_id == F.col("_id")).select("text", "toxic")
+    classes = [p.collect() for p in picked]  # 2 * rows short rows at most
+    counted = {r.toxic: r["count"] for r in one.where("toxic in (0, 1)").groupBy("toxic").count().collect()}
+    taken, known_rows = sum(map(len, classes)), sum(counted.values())
+    chosen = [(r.doc_id, r.toxic, counted[r.toxic] * taken / (len(c) * known_rows)) for c in classes for r in c]
+    sample = spark.createDataFrame(chosen, one.schema.add("weight", "double")).withColumnRenamed("doc_id", "_id")
+    return docs.join(F.broadcast(sample), docs.doc_id == F.col("_id")).select("text", "toxic", "weight")
 
 
 def mine_voters(sample: DataFrame, voters: int = VOTERS, support: int = MIN_SUPPORT, lift: float = MIN_LIFT) -> tuple[list[str], list[str]]:
@@ -146,21 +152,22 @@ def mine_voters(sample: DataFrame, voters: int = VOTERS, support: int = MIN_SUPP
     return (words, [r.feature[1:] for r in best if r.feature[0] == "s"]) if best else (list(SEEDS), [])
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = EM_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = EM_ROUNDS, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(posterior of toxic for each row, correlation matrix of the voters).
 
     votes: rows x voters, 0 or 1. gold: the given labels, which start EM and
-    take part as a voter of fixed accuracy.
+    take part as a voter of fixed accuracy. weight: how many rows a row stands for.
     """
+    weight = np.ones(len(votes)) if weight is None else weight
     posterior = np.where(gold == 1, GOLD_ACCURACY, 1 - GOLD_ACCURACY)
     share = np.ones(votes.shape[1])
     correlated = np.eye(votes.shape[1])
     for _ in range(rounds):
-        toxic, clean = posterior.sum(), (1 - posterior).sum()
-        fires = np.clip((votes.T @ posterior + 0.5) / (toxic + 1), 1e-4, 1 - 1e-4)
-        falsely = np.clip((votes.T @ (1 - posterior) + 0.5) / (clean + 1), 1e-4, 1 - 1e-4)
+        toxic, clean = (weight * posterior).sum(), (weight * (1 - posterior)).sum()
+        fires = np.clip((votes.T @ (weight * posterior) + 0.5) / (toxic + 1), 1e-4, 1 - 1e-4)
+        falsely = np.clip((votes.T @ (weight * (1 - posterior)) + 0.5) / (clean + 1), 1e-4, 1 - 1e-4)
         rest = votes - np.outer(posterior, fires) - np.outer(1 - posterior, falsely)
-        cover = rest.T @ rest / len(votes)
+        cover = (rest * weight[:, None]).T @ rest / weight.sum()
         spread = np.sqrt(np.maximum(np.diag(cover), 1e-9))
         correlated = np.clip(cover / np.outer(spread, spread), 0, 1)
         share = 1 / np.maximum(correlated.sum(axis=1), 1)
@@ -174,16 +181,17 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = EM_ROUNDS) ->
     return posterior, correlated
 
 
-def fit_linear(votes: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, float]:
+def fit_linear(votes: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 25, weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Logistic regression on votes and log(1 + fired) by Newton steps; (weights, bias)."""
     x = np.column_stack([votes, np.log1p(votes.sum(axis=1)), np.ones(len(votes))])
+    weight = np.ones(len(votes)) if weight is None else weight
     w = np.zeros(x.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - target) + penalty * w
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        gradient = x.T @ (weight * (p - target)) + penalty * w
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -191,8 +199,8 @@ def fit_linear(votes: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds
     return w[:-1], float(w[-1])
 
 
-def _vote_table(sample: DataFrame, words: list[str], stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Votes and given labels of the sampled rows, packed in bits on their way."""
+def _vote_table(sample: DataFrame, words: list[str], stems: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Votes, given labels and weights of the sampled rows, packed in bits on their way."""
     model = Model({w: k for k, w in enumerate(words)}, {s: len(words) + k for k, s in enumerate(stems)}, np.zeros(1), 0.0)
     width = len(words) + len(stems)
 
@@ -201,12 +209,12 @@ def _vote_table(sample: DataFrame, words: list[str], stems: list[str]) -> tuple[
             rows = np.zeros((part.num_rows, width), dtype=bool)
             for k, text in enumerate(part.column(0).to_pylist()):
                 rows[k, model.votes(text)] = True
-            yield pa.RecordBatch.from_arrays([part.column(1), pa.array([r.tobytes() for r in np.packbits(rows, axis=1)], pa.binary())], names=["toxic", "votes"])
+            yield pa.RecordBatch.from_arrays([part.column(1), pa.array([r.tobytes() for r in np.packbits(rows, axis=1)], pa.binary()), part.column(2)], names=["toxic", "votes", "weight"])
 
-    got = sample.mapInArrow(run, "toxic int, votes binary").collect()  # 2 * TRAIN_ROWS rows of VOTERS bits
+    got = sample.mapInArrow(run, "toxic int, votes binary, weight double").collect()  # 2 * TRAIN_ROWS rows of VOTERS bits
     got.sort(key=lambda r: (r.toxic, bytes(r.votes)))  # sums of floats come out the same whatever task was first
     bits = np.array([np.frombuffer(r.votes, dtype=np.uint8) for r in got], dtype=np.uint8).reshape(len(got), -(-width // 8))
-    return np.unpackbits(bits, axis=1, count=width).astype(float), np.array([r.toxic for r in got])
+    return np.unpackbits(bits, axis=1, count=width).astype(float), np.array([r.toxic for r in got]), np.array([r.weight for r in got])
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, voters: int = VOTERS) -> Model:
@@ -214,11 +222,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, voters: int
     sample = stored(training_sample(docs, labels, rows), "training-sample")
     words, stems = mine_voters(sample, voters)
     number = {w: k for k, w in enumerate(words)}, {s: len(words) + k for k, s in enumerate(stems)}
-    votes, gold = _vote_table(sample, words, stems)
+    votes, gold, weight = _vote_table(sample, words, stems)
     if not len(gold) or gold.min() == gold.max():
         return Model(*number, np.append(np.full(len(words) + len(stems), 3.0), 0.0), -2.0)  # nothing to learn from: a voter decides
-    posterior, _ = label_model(votes, gold)
-    weights, bias = fit_linear(votes, posterior)
+    posterior, _ = label_model(votes, gold, weight=weight)
+    weights, bias = fit_linear(votes, posterior, weight=weight)
     return Model(*number, weights, bias)
 
 
