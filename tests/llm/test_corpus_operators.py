@@ -207,6 +207,44 @@ def test_keep_one_finds_similar_texts(spark):
     assert len(kept) < len(rows) // 2
 
 
+@pytest.mark.parametrize("variants", [40, 200])
+def test_keep_one_joins_a_family_whose_hub_has_a_middle_id(spark, variants):
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows = [(k, edited(rng, base, 4)) for k in range(variants)]
+    rows = [(k, t) for k, t in rows if similarity_of(t, " ".join(base)) >= 0.8]
+    rows.append((1000, " ".join(base)))
+    rows = [(k if k < variants // 2 or k == 1000 else k + 2000, t) for k, t in rows]
+    assert sorted(i for i, _ in rows).index(1000) in range(variants // 3, len(rows) - variants // 3)
+    kept = {r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()}
+    assert len(rows) > variants * 0.9 and len(kept) <= 1 + variants // 100
+
+
+def test_keep_one_compares_all_members_that_differ(spark):
+    rng = random.Random(22)
+    shared = [f"w{k}" for k in range(120)]
+    rows, pairs = [], 12
+    for k in range(pairs):  # all share a passage; each has one near copy among the others
+        words = [f"own{k}x{j}" for j in range(100)] + shared
+        rows += [(k, " ".join(words)), (100 + k * 7 % pairs, edited(rng, words, 2))]
+    kept = {r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()}
+    roots = brute_components([(i, brute_print(t, 5)) for i, t in rows], texts=dict(rows))
+    assert kept == {i for i, root in roots.items() if i == root} == set(range(pairs))
+
+
+def test_keep_one_links_equal_sets_and_near_copies_of_texts_with_equal_fingerprints(spark):
+    rng = random.Random(23)
+    phrases = ["one red fox ran home", "ten old men sat down"]
+    own = [[f"w{rng.randrange(10**6)}" for _ in range(200)] for _ in range(3)]
+    rows = [(k, " ".join(own[2] + [phrases[0]] * (3, 60)[k] + [phrases[1]] * (60, 3)[k])) for k in range(2)]
+    ruled = [" ".join(o) + " " + " ".join(["all work and no play"] * 900) for o in own[:2]]
+    rows += [(10, ruled[0]), (11, ruled[1]), (12, edited(rng, own[1], 2) + " " + " ".join(["all work and no play"] * 3))]
+    prints = {i: brute_print(t, 5) for i, t in rows}
+    assert (prints[0] ^ prints[1]).bit_count() > 24 and prints[10] == prints[11]
+    assert similarity_of(rows[0][1], rows[1][1]) == 1 and similarity_of(rows[3][1], rows[4][1]) >= 0.8
+    assert {r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()} == {0, 10}
+
+
 def test_near_chains_of_fingerprints(spark):
     rng = random.Random(11)
     prints, value = [], rng.getrandbits(64)

@@ -34,10 +34,16 @@ and no sharding by bits finds such pairs in work linear in the corpus. So
 ``keep_one``, which promises that similarity, also makes partial fingerprints:
 each of GROUPS is the SimHash of the LEAST shingles that come first in an order
 of its own. Two texts of similarity 0.8 have an equal one with probability
-1 - (1 - 0.8**3)**10 = 0.999. Each member of such a bucket is compared with the
-bucket's smallest and largest node (so no bucket is expanded into its pairs),
-pairs whose full fingerprints are further apart than FAR bits are left out, and
-the rest are confirmed by the exact similarity of their shingle sets.
+1 - (1 - 0.8**3)**10 = 0.999. Members of a bucket are texts with different
+shingle sets; equal sets are one member. In rounds, some members of each bucket
+become pivots and every other member meets them, in the first round only the
+one with most company in all its buckets, then up to SLOTS times as many each
+time. Pairs are confirmed by the exact similarity of their shingle sets. After
+each round pivots leave the bucket, and a bucket is done when one component
+holds all members left, so a family is not expanded into its pairs once it is
+joined, and no pair of different components stays uncompared. Members that
+never join cost their bucket's pairs; those whose sets differ too much in size
+to be that similar are not paired.
 """
 
 from __future__ import annotations
@@ -60,7 +66,7 @@ RADIUS = 2
 HASHES_AT_ONCE = 1 << 16
 SIMILARITY = 0.8
 GROUPS, LEAST = 10, 3
-FAR = 24
+SLOTS = 8
 
 #: An odd factor for each group; the products order the shingles.
 FACTORS = np.array([int.from_bytes(hashlib.sha256(bytes([g])).digest()[:8], "little") | 1 for g in range(GROUPS)], dtype=np.uint64)
@@ -96,9 +102,8 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return majority(shingle_hashes(text, size))
 
 
-def partial_fingerprints(hashes: np.ndarray) -> list[int]:
-    """For each group the fingerprint of the different shingles that its order puts first."""
-    distinct = np.unique(hashes)
+def partial_fingerprints(distinct: np.ndarray) -> list[int]:
+    """For each group the fingerprint of those of the different shingles that its order puts first."""
     if len(distinct) <= LEAST:
         return [majority(distinct)] * GROUPS
     return [majority(distinct[np.argpartition(distinct * factor, LEAST - 1)[:LEAST]]) for factor in FACTORS]
@@ -108,7 +113,8 @@ def fingerprints(docs: DataFrame, size: int = 3, parts: bool = False) -> DataFra
     """(doc_id, fp): fp is the fingerprint's 64 bits as a signed bigint.
 
     A null text counts as empty. Rows with equal doc_id each get a row. With
-    ``parts`` there is also an array of the partial fingerprints.
+    ``parts`` there are also a digest of the shingle set, its size and an array of
+    the partial fingerprints.
     """
 
     def signed(values: list[int]) -> np.ndarray:
@@ -119,12 +125,15 @@ def fingerprints(docs: DataFrame, size: int = 3, parts: bool = False) -> DataFra
             hashes = [shingle_hashes(t, size) for t in part.column(1).to_pylist()]
             columns = [part.column(0), pa.array(signed([majority(h) for h in hashes]))]
             if parts:
-                flat = signed([p for h in hashes for p in partial_fingerprints(h)])
+                sets = [np.unique(h) for h in hashes]
+                columns.append(pa.array([hashlib.sha256(s.tobytes()).digest()[:16] for s in sets], pa.binary()))
+                columns.append(pa.array([len(s) for s in sets], pa.int32()))
+                flat = signed([p for s in sets for p in partial_fingerprints(s)])
                 ends = np.arange(0, len(flat) + 1, GROUPS, dtype=np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "parts"][: len(columns)])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "own", "n", "parts"][: len(columns)])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint" + ", parts array<bigint>" * parts)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint" + ", own binary, n int, parts array<bigint>" * parts)
 
 
 class BKTree:
@@ -218,19 +227,42 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return shards.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def similar_links(docs: DataFrame, nodes: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(a, b), a < b: node pairs of one bucket whose shingle sets have the similarity.
+def similar_components(docs: DataFrame, nodes: DataFrame, edges: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``components`` of the edges and of node pairs of one bucket whose shingle sets have the similarity.
 
-    ``nodes`` has one row (node, fp, parts) for each different fingerprint; a
-    node is a doc_id of ``docs``. If several texts have that doc_id, one that is
-    similar is enough.
+    ``nodes`` has one row (node, n, parts) for each different shingle set of n
+    shingles; a node is a doc_id of ``docs``. If several texts have that
+    doc_id, one that is similar is enough.
     """
-    members = nodes.select("node", "fp", F.posexplode("parts").alias("kind", "part"))
-    end = F.struct("node", "fp")
-    buckets = members.groupBy(F.col("kind").alias("of"), F.col("part").alias("is")).agg(F.min(end).alias("low"), F.max(end).alias("high")).where("low.node <> high.node")
-    met = members.join(buckets, (F.col("kind") == F.col("of")) & (F.col("part") == F.col("is"))).select("node", "fp", F.explode(F.array("low", "high")).alias("end"))
-    met = met.where((F.col("node") != F.col("end.node")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("end.fp"))) <= FAR))
-    pairs = stored(met.select(F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b")).distinct(), "met")
+    members = nodes.where("n > 0").select("node", "n", F.posexplode("parts").alias("kind", "part"))
+    shared = members.groupBy(F.col("kind").alias("of"), F.col("part").alias("is")).agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("company")).where("low <> high")
+    in_bucket = (F.col("kind") == F.col("of")) & (F.col("part") == F.col("is"))
+    met = stored(members.join(shared, in_bucket).select("kind", "part", "node", "n", "company"), "members")
+    scores = met.groupBy(F.col("node").alias("scored")).agg(F.sum("company").alias("score"))
+    left = stored(met.join(scores, F.col("node") == F.col("scored")).select("kind", "part", "node", "n", "score", F.col("node").alias("root")), "open")
+    found, slots = None, 1
+    while found is None or not left.isEmpty():
+        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots))
+        end = F.struct("score", "node", "n", "root")
+        pivots = stored(left.groupBy(F.col("kind").alias("of"), F.col("part").alias("is"), slot.alias("slot")).agg(F.max(end).alias("end")), "pivots")
+        close = F.least("n", "end.n") >= similarity * F.greatest("n", "end.n")
+        pairs = left.join(pivots, in_bucket & (F.col("root") != F.col("end.root")) & close)
+        pairs = stored(pairs.select(F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b")).distinct(), "met")
+        edges = edges.union(stored(_similar(docs, pairs, size, similarity), "similar"))
+        found = stored(components(edges), "components")
+        edges = found.where("root <> node").select(F.col("root").alias("a"), F.col("node").alias("b"))
+        used = pivots.select("of", "is", F.col("end.node").alias("used"))
+        left = left.drop("root").join(used, in_bucket & (F.col("node") == F.col("used")), "left_anti")
+        left = left.join(found.withColumnRenamed("node", "joined"), F.col("node") == F.col("joined"), "left").withColumn("root", F.coalesce("root", "node"))
+        left = stored(left.select("kind", "part", "node", "n", "score", "root"), "relabelled")
+        live = left.groupBy(F.col("kind").alias("of"), F.col("part").alias("is")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        left = stored(left.join(live, in_bucket, "left_semi"), "open")
+        slots *= SLOTS
+    return found
+
+
+def _similar(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose shingle sets have the similarity."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
     texts = stored(texts.join(wanted, "id", "left_semi"), "texts-met")
@@ -318,15 +350,18 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS, simila
     fingerprint, which is null if no doc_id is known there.
     """
     prints = stored(fingerprints(docs, size, similarity is not None), "fingerprints")
-    if similarity is None:
-        nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    else:
-        nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.min_by("parts", "doc_id").alias("parts")), "nodes")
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
     known = nodes.where("node is not null")
     edges = links(known, radius)
-    if similarity is not None:
-        edges = edges.union(similar_links(docs, known, size, similarity))
-    found = components(edges)
+    if similarity is None:
+        found = components(edges)
+    else:
+        sets = stored(prints.groupBy("own").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("parts").alias("parts")).where("node is not null"), "sets")
+        owners, holders = sets.select(F.col("own").alias("set"), F.col("node").alias("owner")), known.toDF("held", "holder")
+        tied = prints.select("fp", "own").distinct().join(owners, F.col("own") == F.col("set")).join(holders, F.col("fp") == F.col("held")).where("owner <> holder")
+        tied = tied.select(F.least("owner", "holder").alias("a"), F.greatest("owner", "holder").alias("b")).distinct()
+        edges = stored(edges.union(tied), "edges")
+        found = similar_components(docs, sets.select("node", "n", "parts"), edges, size, similarity)
     roots = stored(
         nodes.join(found, "node", "left").select(F.col("fp").alias("node_fp"), F.coalesce("root", "node").alias("component_id")),
         "roots",
