@@ -143,6 +143,13 @@ def test_line_dedup_cases(spark):
     assert line_dedup.drop_recurring_lines(nothing(docs)).count() == 0
 
 
+def test_different_lines_of_fields_alone_stay(spark):
+    row = lambda k: " ".join(str(1000 * k + j) for j in range(9))
+    rows = [(k, f"{row(k)}\n{row(k + 500)}\n東京{k}番地\n{row(-1)}") for k in range(30)]
+    got = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(documents(spark, rows)).collect()}
+    assert got == {k: text if k == 0 else text.rsplit("\n", 1)[0] for k, text in rows}
+
+
 def test_marks_hold_for_every_wanted_key_and_for_hardly_any_other(spark):
     keys = spark.range(40_000).selectExpr("xxhash64(id) AS key", "id")
     wanted = keys.where("id % 3 = 0").select("key")
