@@ -198,3 +198,12 @@ def test_encode_cases(spark, coder):
     want = sorted((str(i), coder[1].encode_ordinary(t or "")) for i, t in texts())
     assert sorted((str(r.doc_id), list(r.ids)) for r in got) == want
     assert bpe.encode(nothing(documents(spark)), *queries.vocabulary()).count() == 0
+
+
+def test_chat_query_folds_every_turn_as_a_message(spark, monkeypatch):
+    logs, whole = [], queries.chat.format_chats
+    monkeypatch.setattr(queries.chat, "format_chats", lambda log: logs.append(log) or whole(log))
+    queries.op9_chat_format(spark, SMALL)
+    (log,) = logs
+    assert log.where("message is null").count() == 0
+    assert log.select("conv_id", "message").distinct().count() == log.count() > 2
