@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL, rows_of
 from tests.llm.frames import documents, nothing, texts
 from tidalbook.llm import decontam, line_dedup, queries, simhash, toxicity
-from tidalbook.llm._shared import table
+from tidalbook.llm._shared import table, with_mark
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -153,9 +153,9 @@ def test_different_lines_of_fields_alone_stay(spark):
 def test_marks_hold_for_every_wanted_key_and_for_hardly_any_other(spark):
     keys = spark.range(40_000).selectExpr("xxhash64(id) AS key", "id")
     wanted = keys.where("id % 3 = 0").select("key")
-    got = line_dedup._with_mark(keys, F.col("key"), wanted, "mark").selectExpr("count_if(mark and id % 3 = 0)", "count_if(mark and id % 3 <> 0)", "count(*)").first()
+    got = with_mark(keys, F.col("key"), wanted, "mark").selectExpr("count_if(mark and id % 3 = 0)", "count_if(mark and id % 3 <> 0)", "count(*)").first()
     assert got[0] == 13_334 and got[1] < 100 and got[2] == 40_000
-    assert line_dedup._with_mark(keys, F.col("key"), wanted.limit(0), "mark").where("mark").count() == 0
+    assert with_mark(keys, F.col("key"), wanted.limit(0), "mark").where("mark").count() == 0
 
 
 def brute_print(text, size):

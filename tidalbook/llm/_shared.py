@@ -7,9 +7,11 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SLICE_ROWS = 256
+BITMAP_BITS = 1 << 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,21 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, which all executors share.
 
-    Only where that setting is missing, as in local tests, a temporary folder
-    of this machine is taken and set.
+    Only a local session without that setting gets a temporary folder of this
+    machine; on a cluster the setting must be there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
+    """A path in the shared folder that nothing else uses, with the scheme of its file system."""
     base = shared_dir(spark)
-    if base.startswith("/"):
-        base = f"file://{base}"
+    if "://" not in base:
+        where = spark._jvm.org.apache.hadoop.fs.Path(base)
+        whole = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+        base = whole if "://" in whole else whole.replace("file:/", "file:///", 1)
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
@@ -67,6 +73,30 @@ def row_slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Ite
             yield batch.slice(start, rows)
 
 
+def with_mark(rows: DataFrame, key: Column, wanted: DataFrame, mark: str) -> DataFrame:
+    """``rows`` with a boolean column: true wherever the hash ``key`` is in the only column of ``wanted``, and seldom elsewhere.
+
+    What is broadcast is a bitmap of BITMAP_BITS bits, whatever the input. A
+    fuller one lets more rows through and changes nothing else.
+    """
+    place = lambda hashed: F.pmod(hashed, F.lit(BITMAP_BITS)) + 1
+    bucket, words = fresh(rows, "mark_bucket", "mark_words")
+    at = wanted.select(place(F.col(wanted.columns[0])).alias("place"))
+    bitmap = at.groupBy(F.bitmap_bucket_number("place").alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    word = lambda i: F.conv(F.hex(F.substring("bits", (i * 8 + 1).cast("int"), F.lit(8))), 16, -10).cast("bigint")
+    bitmap = bitmap.select(bucket, F.transform(F.sequence(F.lit(0), F.lit(511)), word).alias(words))
+    bit = F.bitmap_bit_position(place(key)).cast("int")
+    in_word = (bit % 64).bitwiseXOR(F.lit(56))  # the first of a word's eight bytes is its highest
+    found = rows.join(F.broadcast(bitmap), F.bitmap_bucket_number(place(key)) == F.col(bucket), "left")  # BITMAP_BITS / 32768 rows of 4 KB at most
+    return found.withColumn(mark, F.coalesce(F.getbit(F.get(F.col(words), F.shiftright(bit, 6)), in_word) == 1, F.lit(False))).drop(bucket, words)
+
+
+def marked(rows: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
+    """Rows whose hash ``key`` may be in ``wanted``: all that are, and few others."""
+    (mark,) = fresh(rows, "may_be_in")
+    return with_mark(rows, key, wanted, mark).where(mark).drop(mark)
+
+
 def forget(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -38,8 +38,9 @@ of its own. Two texts of similarity 0.8 have an equal one with probability
 shingle sets; equal sets are one member. In rounds, some members of each bucket
 become pivots and every other member meets them, in the first round only the
 one with most company in all its buckets, then up to SLOTS times as many each
-time. Pairs are confirmed by the exact similarity of their shingle sets. After
-each round pivots leave the bucket, and a bucket is done when one component
+time. Pairs that a one-permutation sketch of BINS bins shows to be far apart are
+left out inside the join; the others are confirmed by the exact similarity of
+their shingle sets. After each round pivots leave the bucket, and a bucket is done when one component
 holds all members left, so a family is not expanded into its pairs once it is
 joined, and no pair of different components stays uncompared. Members that
 never join cost their bucket's pairs; those whose sets differ too much in size
@@ -49,16 +50,17 @@ to be that similar are not paired.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidalbook.llm._shared import forget, fresh, new_path, row_slices, stored
+from tidalbook.llm._shared import forget, fresh, marked, new_path, row_slices, stored
 
 SEED = 42
 BLOCKS = 8
@@ -66,7 +68,8 @@ RADIUS = 2
 HASHES_AT_ONCE = 1 << 16
 SIMILARITY = 0.8
 GROUPS, LEAST = 10, 3
-SLOTS = 8
+PIVOTS = (1, 8)
+COUNTERS = 1 << 20
 
 #: An odd factor for each group; the products order the shingles.
 FACTORS = np.array([int.from_bytes(hashlib.sha256(bytes([g])).digest()[:8], "little") | 1 for g in range(GROUPS)], dtype=np.uint64)
@@ -191,7 +194,7 @@ def shard_forest(prints: list[int], nodes: list[int], radius: int) -> list[tuple
     return [(nodes[order[top(k)]], nodes[order[k]]) for k in range(len(order)) if top(k) != k]
 
 
-def _shard_keys(fp: F.Column, radius: int) -> F.Column:
+def _shard_keys(fp: Column, radius: int) -> Column:
     """One key for each choice of the blocks that two near fingerprints share."""
     width, keys = 64 // BLOCKS, []
     for number, kept in enumerate(combinations(range(BLOCKS), BLOCKS - radius)):
@@ -208,8 +211,10 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     if not 0 <= radius < BLOCKS:
         raise ValueError(f"radius must be from 0 to {BLOCKS - 1}")
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = (
-        nodes.select("node", "fp", F.explode(_shard_keys(F.col("fp"), radius)).alias("key"))
+        nodes.repartition(tasks, "fp")  # a table of short rows is few files, and each row becomes many
+        .select("node", "fp", F.explode(_shard_keys(F.col("fp"), radius)).alias("key"))
         .groupBy("key.kind", "key.bits")
         .agg(F.collect_list(F.struct("node", "fp")).alias("members"))  # at most 2**(8 * radius) members
         .where(F.size("members") > 1)
@@ -238,59 +243,113 @@ def similar_components(docs: DataFrame, nodes: DataFrame, edges: DataFrame, size
     shared = members.groupBy(F.col("kind").alias("of"), F.col("part").alias("is")).agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("company")).where("low <> high")
     in_bucket = (F.col("kind") == F.col("of")) & (F.col("part") == F.col("is"))
     met = stored(members.join(shared, in_bucket).select("kind", "part", "node", "n", "company"), "members")
-    scores = met.groupBy(F.col("node").alias("scored")).agg(F.sum("company").alias("score"))
-    left = stored(met.join(scores, F.col("node") == F.col("scored")).select("kind", "part", "node", "n", "score", F.col("node").alias("root")), "open")
-    found, slots = None, 1
-    while found is None or not left.isEmpty():
-        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots))
-        end = F.struct("score", "node", "n", "root")
-        pivots = stored(left.groupBy(F.col("kind").alias("of"), F.col("part").alias("is"), slot.alias("slot")).agg(F.max(end).alias("end")), "pivots")
+    scores = stored(met.groupBy(F.col("node").alias("scored")).agg(F.sum("company").alias("score")), "scores")
+    sets = stored(_shingle_sets(docs, scores, size), "shingle-sets")
+    found = stored(components(edges), "components")
+    left = met.join(scores, F.col("node") == F.col("scored")).select("kind", "part", "node", "n", "score")
+    left = _open(left, found, in_bucket)
+    for number, slots in enumerate(PIVOTS):
+        slot = F.pmod(F.xxhash64("node", F.lit(number)), F.lit(slots))
+        end = F.max_by(F.struct("node", "n", "root"), F.struct("score", "node"))
+        pivots = stored(left.groupBy(F.col("kind").alias("of"), F.col("part").alias("is"), slot.alias("slot")).agg(end.alias("end")), "pivots")
         close = F.least("n", "end.n") >= similarity * F.greatest("n", "end.n")
         pairs = left.join(pivots, in_bucket & (F.col("root") != F.col("end.root")) & close)
         pairs = stored(pairs.select(F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b")).distinct(), "met")
-        edges = edges.union(stored(_similar(docs, pairs, size, similarity), "similar"))
-        found = stored(components(edges), "components")
-        edges = found.where("root <> node").select(F.col("root").alias("a"), F.col("node").alias("b"))
+        found = _joined(found, _similar(sets, pairs, similarity))
         used = pivots.select("of", "is", F.col("end.node").alias("used"))
-        left = left.drop("root").join(used, in_bucket & (F.col("node") == F.col("used")), "left_anti")
-        left = left.join(found.withColumnRenamed("node", "joined"), F.col("node") == F.col("joined"), "left").withColumn("root", F.coalesce("root", "node"))
-        left = stored(left.select("kind", "part", "node", "n", "score", "root"), "relabelled")
-        live = left.groupBy(F.col("kind").alias("of"), F.col("part").alias("is")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        left = stored(left.join(live, in_bucket, "left_semi"), "open")
-        slots *= SLOTS
-    return found
+        left = _open(left.drop("root").join(used, in_bucket & (F.col("node") == F.col("used")), "left_anti"), found, in_bucket)
+    pairs = stored(_prefix_pairs(sets, left.select("node", "root").distinct(), similarity), "met")
+    return _joined(found, _similar(sets, pairs, similarity))
 
 
-def _similar(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose shingle sets have the similarity."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    texts = stored(texts.join(wanted, "id", "left_semi"), "texts-met")
-    left, right = texts.toDF("left_id", "left_text"), texts.toDF("right_id", "right_text")
-    both = pairs.join(left, F.col("a") == F.col("left_id")).join(right, F.col("b") == F.col("right_id")).select("a", "b", "left_text", "right_text")
+def _open(members: DataFrame, found: DataFrame, in_bucket: Column) -> DataFrame:
+    """The members with their component as ``root``, of buckets that hold more than one component."""
+    joined = found.withColumnsRenamed({"node": "joined", "root": "of_joined"})
+    rows = members.join(joined, F.col("node") == F.col("joined"), "left").withColumn("root", F.coalesce("of_joined", "node"))
+    rows = stored(rows.select(*members.columns, "root"), "labelled")
+    live = rows.groupBy(F.col("kind").alias("of"), F.col("part").alias("is")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return stored(rows.join(live, in_bucket, "left_semi"), "open")
+
+
+def _joined(found: DataFrame, similar: DataFrame) -> DataFrame:
+    """The components after more links."""
+    similar = stored(similar, "similar")
+    if similar.isEmpty():
+        return found
+    edges = found.where("root <> node").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    return stored(components(edges.union(similar)), "components")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, np.ndarray] = {}
 
-        def shingles(text: str) -> np.ndarray:
-            if text not in known:
-                if len(known) >= 64:
-                    known.clear()
-                known[text] = np.unique(shingle_hashes(text, size))
-            return known[text]
+def prefix_lengths(n: int, similarity: float) -> tuple[int, int]:
+    """How many of a set's n tokens, in the common order, it must look up among smaller sets and show to larger ones."""
+    at_least = lambda share: n - math.ceil(share * n - 1e-9) + 1
+    return at_least(similarity), at_least(2 * similarity / (1 + similarity))
 
+
+def _prefix_pairs(sets: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs of ``nodes`` (node, root) with different roots, among them all whose sets have the similarity."""
+    own = stored(sets.join(nodes, F.col("id") == F.col("node")).select("node", "root", "hashes"), "open-sets")
+    counted = own.select(F.explode("hashes").alias("hash")).groupBy(F.pmod("hash", F.lit(COUNTERS)).cast("int").alias("counter")).agg(F.count("*").alias("n"))
+    counted = counted.select("counter", F.floor(16 * F.log2("n")).cast("short").alias("level")).toArrow()  # COUNTERS rows of 6 bytes at most
+    levels = np.zeros(COUNTERS, dtype=np.int16)
+    levels[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(levels)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = shared.value
         for part in row_slices(batches):
-            kept = []
-            for one, other in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                x, y = shingles(one or ""), shingles(other or "")
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                kept.append(common > 0 and common >= similarity * (len(x) + len(y) - common))
-            yield part.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+            rows: list[tuple[np.ndarray, ...]] = []
+            for node, root, hashes in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
+                hashes = np.asarray(hashes.values, dtype=np.int64)
+                looks_up, shows = prefix_lengths(len(hashes), similarity)
+                first = np.lexsort((hashes, levels[np.mod(hashes, COUNTERS)]))[:looks_up]
+                places = np.arange(len(first))
+                rows.append((hashes[first], *(np.full(len(first), v) for v in (node, root, len(hashes))), places, places < shows))
+            columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
+            if columns:
+                yield pa.RecordBatch.from_arrays([pa.array(columns[k].astype(kind)) for k, kind in enumerate(("i8", "i8", "i8", "i4", "i4", "?"))], names=["token", "node", "root", "n", "place", "shown"])
+
+    prefix = stored(own.mapInArrow(run, "token bigint, node bigint, root bigint, n int, place int, shown boolean"), "prefix")
+    live = prefix.groupBy(F.col("token").alias("met")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    prefix = stored(prefix.join(live, F.col("token") == F.col("met"), "left_semi"), "shared-prefix")
+    x, y = prefix.alias("x"), prefix.where("shown").alias("y")
+    larger = F.struct("x.n", "x.node") > F.struct("y.n", "y.node")
+    behind = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))  # this token and all after it
+    enough = (F.col("y.n") >= similarity * F.col("x.n")) & (behind >= similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-9)
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & larger & enough)
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(id, hashes): the sorted hashes of the different shingles of the texts whose doc_id is in ``wanted`` (and of few others).
+
+    A bitmap picks the texts where they are read; only sets are shuffled, to
+    leave out repeated rows.
+    """
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in row_slices(batches):
+            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in part.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            own = pa.array([hashlib.sha256(s.tobytes()).digest()[:16] for s in sets], pa.binary())
+            hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *sets])))
+            yield pa.RecordBatch.from_arrays([part.column(0), own, hashes], names=["id", "own", "hashes"])
 
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").where("id is not null")
+    texts = marked(texts, F.xxhash64("id"), wanted.select(F.xxhash64(wanted.columns[0])))
+    sets = texts.mapInArrow(run, "id bigint, own binary, hashes array<bigint>")
+    return sets.groupBy("id", "own").agg(F.first("hashes").alias("hashes")).drop("own")
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+
+def _similar(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose shingle sets have the similarity."""
+    left, right = sets.toDF("left_id", "left_set"), sets.toDF("right_id", "right_set")
+    both = pairs.join(left, F.col("a") == F.col("left_id")).join(right, F.col("b") == F.col("right_id"))
+    common = F.size(F.array_intersect("left_set", "right_set"))
+    return both.where((common > 0) & (common >= similarity * (F.size("left_set") + F.size("right_set") - common))).select("a", "b").distinct()
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each linked node reaches.
 
     Large-star and small-star rounds in turn until nothing changes. Hubs meet
@@ -301,7 +360,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     path = new_path(spark, "links")
     edges.select("a", "b").write.parquet(path)
     state = None
-    for _ in range(rounds):
+    while True:
         pairs = spark.read.schema("a bigint, b bigint").parquet(path)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == state or not now[0]:
@@ -314,8 +373,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small.distinct().write.parquet(after)
         forget(spark, path)
         path = after
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     settled = spark.read.schema("a bigint, b bigint").parquet(path)
     return settled.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
 
