@@ -35,6 +35,53 @@ def test_html_broken_pages(page):
     assert isinstance(html_extract.main_text(page), str)
 
 
+PARAGRAPHS = ["The harbour was quiet that morning, and nobody on the pier expected the old ferry to return before noon.", "When it did, its captain told a long story about fog, a broken compass and two very patient whales."]
+LAYOUTS = [
+    '<div class="page-with-sidebar"><article>{}</article></div>',
+    '<div class="layout-sidebar-right">{}</div>',
+    '<form id="aspnetForm"><article>{}</article></form>',
+    '<form id="aspnetForm" method="post"><div>{}</div></form>',
+    '<div id="main-content" class="has-header">{}</div>',
+    '<div class="entry-content share-enabled">{}</div>',
+    '<div class="story related-topic">{}</div>',
+    '<main class="no-sidebar"><div class="story-share-wrap">{}</div></main>',
+    '<div role="main">{}</div>',
+    '<table class="layout"><tr><td>{}</td></tr></table>',
+]
+AROUND = (
+    '<nav><ul><li><a href="/">Home</a></li><li><a href="/b">Other things to read</a></li></ul></nav>{}<div class="share-buttons">Send this to all of your friends now.</div>'
+    '<div class="related-posts"><a href="/c">Seven other stories that you may like</a></div><div class="comment-list"><p>I was there too, and it was not like that at all.</p></div>'
+    '<aside class="widget">Subscribe today, it costs you nothing.</aside><form class="newsletter"><label>Your mail</label><input></form><footer>All rights reserved by the harbour office.</footer>'
+)
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_html_layouts(layout):
+    page = "<html><body class='has-sidebar'>" + AROUND.format(layout.format("".join(f"<p>{p}</p>" for p in PARAGRAPHS))) + "</body></html>"
+    assert html_extract.main_text(page) == " ".join(PARAGRAPHS)
+
+
+def test_the_cut_decides_where_costs_alone_would_not():
+    page = f"<div><p>{PARAGRAPHS[0]}</p><p>So</p><p>{PARAGRAPHS[1]}</p></div><div class='menu'><a href='/'>So</a></div>"
+    found = html_extract.blocks(page)
+    assert [html_extract.evidence(b) > 0 for b in found] == [True, False, True, False]
+    assert html_extract.label(found) == [True, True, True, False]
+    assert html_extract.label(found, smooth=0.0) == [True, False, True, False]
+
+
+def test_html_long_and_deep_pages():
+    import time
+
+    long = "<article>" + f"<p>{PARAGRAPHS[0]}</p>" * 20_000 + "</article>"
+    assert html_extract.main_text(long) == " ".join([PARAGRAPHS[0]] * 20_000)
+    took = []
+    for depth in (2_000, 16_000):
+        began = time.perf_counter()
+        html_extract.main_text("<article>" + "<b>word<br>" * depth)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 40 * took[0]
+
+
 def brute_cut(source, sink, edges):
     n, best = len(source), None
     for mask in range(1 << n):

@@ -3,6 +3,11 @@
 A page is cut into blocks: runs of text between block-level tags. Each block
 has two costs from a linear classifier over its words, links and place in the
 DOM: the cost of calling it boilerplate and the cost of calling it content.
+How much an element around a block speaks for boilerplate is graded: navigation
+and the like speak fully, class and id names by the place of the telling word in
+them (``share-buttons`` more than ``story-share-top``, ``page-with-sidebar`` not
+at all), and a form or a name hardly where the element holds an article or most
+of the page's text, as it then wraps the page.
 They are the capacities of its edges from the source and to the sink.
 Neighbouring blocks are joined by edges whose capacity grows with DOM
 proximity (how many of the nearest ancestors they share): cutting between
@@ -20,7 +25,6 @@ import re
 from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +53,8 @@ INLINE = frozenset(
 )
 #: An opening tag of these ends an open paragraph.
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Elements that are read as forms or headings of whatever they hold, so that what they hold can speak against them.
+SOFT = frozenset("fieldset form header label legend".split())
 CHROME = frozenset("aside button dialog fieldset footer form header input label legend menu nav option select textarea".split())
 CHROME_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 CHROME_NAMES = frozenset(
@@ -56,9 +62,17 @@ CHROME_NAMES = frozenset(
     "header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo promoted promotion related reply replies "
     "respond search share sharing sidebar sidenav signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words of a name that tells a state or a layout and not what the element is.
+STATE_NAMES = frozenset("disabled enabled has is layout no with without".split())
 CONTENT = frozenset("article main".split())
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
 
+#: How much a name says by whether its telling word is all of it, at an end, or inside.
+WHOLE_NAME, END_OF_NAME, IN_NAME, BESIDE_CONTENT_NAME = 1.0, 0.9, 0.5, 0.2
+#: Shares of a page's text from which an element counts as its article, as its wrapper, or as a form around it, and what is left of its say then.
+ARTICLE_SHARE, WRAPPER_SHARE, FORM_SHARE = 0.3, 0.6, 0.5
+AROUND_ARTICLE, AROUND_TEXT, FORM_AROUND_TEXT = 0.1, 0.3, 0.2
+
 SMOOTH = 0.6
 NEAR_PARENT, NEAR_GRANDPARENT, FAR = 1.0, 0.5, 0.2
 #: Weights of the classifier, in log odds of being content.
@@ -70,7 +84,7 @@ class Block:
     text: str
     linked: int
     path: tuple[int, ...]  # its element and the next two above it, inline ones left out
-    chrome: bool
+    chrome: float  # from 0 to 1: how much the elements around it speak for boilerplate
     content: bool
     named: bool
     heading: bool
@@ -80,46 +94,94 @@ class Block:
 class _Element:
     name: str
     number: int
-    chrome: bool
+    parent: int  # its number; -1: none
+    chrome: float  # what this element says itself
+    soft: bool  # what it holds can speak against that
+    is_content: bool
     content: bool
     named: bool
+    chars: int = 0  # of text that is no link, below it
+    around_article: bool = False
+
+
+def _name_says(names: list[str]) -> tuple[float, bool]:
+    """(how much class and id names speak for boilerplate, whether one is a content name)."""
+    says, named = 0.0, False
+    for name in names:
+        words = [w.lower() for w in NAME_WORD.findall(name)]
+        telling = [w in CHROME_NAMES for w in words]
+        if not any(telling):
+            named = named or not CONTENT_NAMES.isdisjoint(words)
+        elif STATE_NAMES.isdisjoint(words):
+            says = max(says, WHOLE_NAME if all(telling) else END_OF_NAME if telling[0] or telling[-1] else IN_NAME)
+    return says * (BESIDE_CONTENT_NAME if named and says < WHOLE_NAME else 1.0), named
 
 
 def _element(name: str, rest: str, number: int, parent: _Element | None) -> _Element:
-    words: set[str] = set()
+    names: list[str] = []
     role = ""
     for key, a, b, c in ATTRIBUTE.findall(rest) if "=" in rest else ():
         value = a or b or c
         if key.lower() in ("class", "id"):
-            words.update(w.lower() for w in NAME_WORD.findall(value))
+            names += value.split()
         elif key.lower() == "role":
             role = value.strip().lower()
     body = name in ("html", "body")
     content = name in CONTENT or role in ("main", "article")
-    chrome = not body and not content and (name in CHROME or role in CHROME_ROLES or not words.isdisjoint(CHROME_NAMES))
-    named = not body and not words.isdisjoint(CONTENT_NAMES)
-    if parent is None:
-        return _Element(name, number, chrome, content, named)
-    return _Element(name, number, chrome or parent.chrome, content or parent.content, named or parent.named)
+    says, named = (0.0, False) if body else _name_says(names)
+    hard = not content and not body and (name in CHROME - SOFT or role in CHROME_ROLES)
+    chrome = 0.0 if body or content else 1.0 if hard or name in SOFT else says
+    up = -1 if parent is None else parent.number
+    return _Element(name, number, up, chrome, not hard, content, content or bool(parent and parent.content), named or bool(parent and parent.named))
+
+
+def _weigh(elements: list[_Element]) -> list[float]:
+    """For each element how much it and those around it speak for boilerplate; parents stand before children."""
+    total = 0
+    for e in reversed(elements):
+        if e.parent >= 0:
+            elements[e.parent].chars += e.chars
+        else:
+            total += e.chars
+    for e in reversed(elements):
+        if e.parent >= 0 and (e.around_article or (e.is_content and e.chars >= ARTICLE_SHARE * total > 0)):
+            elements[e.parent].around_article = True
+    out: list[float] = []
+    for e in elements:
+        says = e.chrome
+        if e.soft and says:
+            if e.around_article:
+                says *= AROUND_ARTICLE
+            elif e.name == "form" and e.chars >= FORM_SHARE * total > 0:
+                says *= FORM_AROUND_TEXT
+            elif e.name not in SOFT and says < WHOLE_NAME and e.chars >= WRAPPER_SHARE * total > 0:
+                says *= AROUND_TEXT
+        out.append(max(says, out[e.parent]) if e.parent >= 0 else says)
+    return out
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, each with what the classifier looks at."""
     out: list[Block] = []
     stack: list[_Element] = []
+    outer: list[int] = []  # numbers of those on the stack that are not inline
+    elements: list[_Element] = []
     texts: list[str] = []
     linked: list[str] = []
+    where: list[int] = []  # the innermost element of each block
     open_names: Counter[str] = Counter()
-    count = 0
 
     def flush() -> None:
         if texts:
             words = " ".join(html.unescape("".join(texts)).split())
             if words:
                 top = stack[-1] if stack else None
-                path = tuple(islice((e.number for e in reversed(stack) if e.name not in INLINE), 3))
+                in_links = len("".join("".join(linked).split()))
                 heading = any(open_names[h] for h in HEADINGS)
-                out.append(Block(words, len("".join("".join(linked).split())), path, bool(top and top.chrome), bool(top and top.content), bool(top and top.named), heading))
+                out.append(Block(words, in_links, tuple(outer[:-4:-1]), 0.0, bool(top and top.content), bool(top and top.named), heading))
+                where.append(top.number if top else -1)
+                if top:
+                    top.chars += max(0, len(words) - in_links)
             texts.clear()
             linked.clear()
 
@@ -128,6 +190,8 @@ def blocks(page: str) -> list[Block]:
         for e in stack[to:]:
             open_names[e.name] -= 1
             hidden -= e.name in HIDDEN
+            if e.name not in INLINE:
+                outer.pop()
         del stack[to:]
 
     at, size, hidden = 0, len(page), 0
@@ -164,8 +228,10 @@ def blocks(page: str) -> list[Block]:
                     break
         if found["rest"].endswith("/") and name in ("svg", "math", "path"):
             continue
-        count += 1
-        stack.append(_element(name, found["rest"], count, stack[-1] if stack else None))
+        elements.append(_element(name, found["rest"], len(elements), stack[-1] if stack else None))
+        stack.append(elements[-1])
+        if name not in INLINE:
+            outer.append(elements[-1].number)
         open_names[name] += 1
         hidden += name in HIDDEN
         if name in RAW:
@@ -173,6 +239,9 @@ def blocks(page: str) -> list[Block]:
             at = end.end() if end else size
             pop(len(stack) - 1)
     flush()
+    says = _weigh(elements)
+    for block, at in zip(out, where, strict=True):
+        block.chrome = says[at] if at >= 0 else 0.0
     return out
 
 
