@@ -196,12 +196,19 @@ def test_pii_query(spark):
     for r in got:
         want = brute_spans(docs[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [len(r.scores), r.n_iban + r.n_secret] == [len(r.spans.split(",")) if r.spans else 0, len(r.scores) - len(want)]
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(w.startswith(k) for w in want) for k in ("email", "ip", "card", "phone")]
 
 
 def test_pii_context_iban_and_cases(spark):
     text = "iban GB82 WEST 1234 5698 7654 32 and GB82 WEST 1234 5698 7654 33"
     assert [str(s) for s in pii.find_spans(text) if s.rank == 4] == ["iban:5:32"]
+    assert [str(s) for s in pii.find_spans("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF")] == ["iban:5:32"]
+    assert [s.rank for s in pii.find_spans("pay to DE89 3704 0044 0532 0130 00 please")] == [4]
+    assert pii.find_spans("serial part DE89 3704 0044 0532 0130 00 of the motor") == []
+    run = "9233a8ecf7c5b09fe594"
+    assert [str(s) for s in pii.find_spans(f'token = "{run}"')] == ["secret:9:29"]
+    assert pii.find_spans(f"commit {run} fixes it") == pii.find_spans(run) == pii.find_spans("the password is " + "a1" * 20) == []
     near, far = (pii.find_spans(t + "+44 20 7946 0958")[0].score for t in ("call me: ", "xyz: "))
     assert near > far
     assert pii.find_pii(documents(spark)).count() == len(texts())

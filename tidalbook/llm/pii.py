@@ -1,7 +1,7 @@
 """Personal data: patterns propose spans, checksums confirm them, context scores them.
 
 Kinds, in the order in which equal starts are listed: email, ip, card, phone
-(the base kinds) and iban, which the checksum method adds. Matches of a kind
+(the base kinds), then iban and secret, which the method adds. Matches of a kind
 are leftmost and do not overlap; different kinds may overlap.
 
 =======  =========================================================  ==============================
@@ -11,14 +11,17 @@ email    local part, ``@``, host of two labels or more              nothing more
 ip       four dotted numbers                                        each part is at most 255
 card     digits, each may follow one space or hyphen                12 to 19 digits and Luhn
 phone    ``+`` with digits, spaces, brackets, dots, hyphens         9 to 15 digits
-iban     two letters, two digits, groups of capitals and digits     15 to 34 characters and mod-97
+iban     two letters, two digits, capitals and digits, cut at the    15 to 34 characters and mod-97
+         country's length
+secret   20 or more letters, digits and ``+/_-`` in one run          digits and letters, 3 bits a character
 =======  =========================================================  ==============================
 
 A span that its check refutes is dropped, without trying a shorter one. The
 score of a span starts from how sure pattern and checksum are and gains or
 loses with context words within 40 code points: ``call me`` before a phone,
-``version`` before an ip. Base spans stay whatever their score is; an iban
-needs MIN_SCORE.
+``version`` before an ip. Base spans stay whatever their score is; added ones
+need MIN_SCORE, so context decides: an iban beside ``serial`` is dropped, and a
+random run is a secret only beside words such as ``token`` or ``password``.
 
 Spans are counted in code points, end exclusive. Each text is searched whole,
 in map-only tasks, with one text in hand at a time.
@@ -27,7 +30,9 @@ in map-only tasks, with one text in hand at a time.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -37,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tidalbook.llm._shared import row_slices
 
-KINDS = ("email", "ip", "card", "phone", "iban")
+KINDS = ("email", "ip", "card", "phone", "iban", "secret")
 BASE_KINDS = KINDS[:4]
 CONTEXT = 40
 MIN_SCORE = 0.5
@@ -47,10 +52,20 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}")
+LETTER = re.compile(r"[A-Za-z]")
+SECRET_BITS = 3.0
 DIGIT = re.compile(r"[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
+# Characters of an IBAN by country.
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BR=29, CH=21, CR=22, CY=28, CZ=24, DE=22, DK=18, DO=28, EE=20, ES=24, FI=18, FO=18, FR=27, GB=22, GE=22, GI=23, GL=18, GR=27,
+    GT=28, HR=21, HU=28, IE=22, IL=23, IQ=23, IS=26, IT=27, JO=30, KW=30, KZ=20, LB=28, LI=21, LT=20, LU=20, LV=21, MC=27, MD=24, ME=22, MK=19, MR=27, MT=31, MU=30, NL=18, NO=15, PK=24, PL=28,
+    PS=29, PT=25, QA=29, RO=24, RS=22, SA=24, SE=24, SI=19, SK=24, SM=27, TN=24, TR=26, UA=29, VA=22, VG=24, XK=20,
+)
+
 #: Words near a span: those that speak for it and those that speak against it.
 CONTEXT_WORDS = {
     "email": (("mail", "email", "contact", "write", "correo", "courriel"), ("example", "noreply")),
@@ -58,8 +73,9 @@ CONTEXT_WORDS = {
     "card": (("card", "visa", "credit", "pay", "karte", "tarjeta", "carte"), ("order", "isbn", "tracking")),
     "phone": (("call", "phone", "tel", "mobile", "fax", "telefon"), ("version", "score")),
     "iban": (("iban", "bank", "account", "transfer", "konto", "cuenta", "compte"), ("serial", "part")),
+    "secret": (("apikey", "credential", "credentials", "key", "passwd", "password", "pwd", "secret", "token"), ("checksum", "commit", "digest", "md5", "sha", "uuid")),
 }
-BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8}
+BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.6, "secret": 0.4}
 CONTEXT_STEP = 0.2
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -97,6 +113,29 @@ def _iban(text: str) -> bool:
     return 15 <= len(packed) <= 34 and mod97(packed)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of IBAN, cut at the length that the country has; they end before a character that is no letter or digit."""
+    after = 0
+    while found := IBAN.search(text, after):
+        start, end = found.span()
+        size = IBAN_LENGTHS.get(text[start : start + 2], 34)
+        packed = 0
+        for at in range(start, end):
+            packed += text[at] != " "
+            if packed == size:
+                end = at + 1
+                break
+        after = end
+        if not text[end : end + 1].isalnum():
+            yield start, end
+
+
+def _secret(text: str) -> bool:
+    if not DIGIT.search(text) or not LETTER.search(text):
+        return False
+    return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values()) >= SECRET_BITS
+
+
 #: kind -> (a character that every match has or None for a digit, pattern, check)
 FINDERS = {
     "email": ("@", EMAIL, lambda m: True),
@@ -104,6 +143,7 @@ FINDERS = {
     "card": (None, CARD, _card),
     "phone": ("+", PHONE, lambda m: 9 <= len(NOT_DIGIT.sub("", m)) <= 15),
     "iban": (None, IBAN, _iban),
+    "secret": (None, SECRET, _secret),
 }
 
 
@@ -140,7 +180,7 @@ def find_spans(text: str | None) -> list[Span]:
             continue
         if kind != "email" and not digits:
             continue
-        places = _emails(text) if kind == "email" else ((m.start(), m.end()) for m in pattern.finditer(text))
+        places = _emails(text) if kind == "email" else _ibans(text) if kind == "iban" else ((m.start(), m.end()) for m in pattern.finditer(text))
         for start, end in places:
             if check(text[start:end]):
                 sure = score(kind, text, start, end)
