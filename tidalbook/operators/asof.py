@@ -34,7 +34,7 @@ def asof_join(
     tagged = right.select(*keys, F.col(right_us).alias("_us"), F.lit(0 if allow_exact else 2).alias("_side"), F.struct(*[F.col(t) for t in tie] or [F.lit(0)]).alias("_tie"), payload.alias("_right"))
     rows = left.select(*keys, F.col(left_us).alias("_us"), F.lit(1).alias("_side"), F.struct("*").alias("_left"))
     both = tagged.unionByName(rows, allowMissingColumns=True)
-    found = last_before(both, keys, ["_us", "_side", "_tie"], F.col("_right"), "_match", "_us" if bucket_seconds else None, bucket_seconds or 0)
+    found = last_before(both, keys, ["_us", "_side", "_tie"], F.col("_right"), "_match", bucket_seconds * 1_000_000 if bucket_seconds else None)
     out = found.where(F.col("_side") == 1)
     if tolerance_us is not None:
         out = out.withColumn("_match", F.when(F.col("_us") - F.col(f"_match.{right_us}") <= tolerance_us, F.col("_match")))
@@ -93,13 +93,11 @@ def latest_servable(vectors: DataFrame, keys: Sequence[str], decision_us: int) -
 def recent(vectors: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """For each key its n newest rows by (event, available) time.
 
-    The n largest are kept in an aggregate per key, so a hot key is cut down to
-    n rows in every task before the shuffle.
+    Spark applies the limit on the row number in every task before the shuffle
+    (WindowGroupLimit), so a hot key sends n rows from each task.
     """
     order = [F.desc("event_us"), F.desc("available_us"), F.desc("arrival_seq")]
-    near = vectors.withColumn("_task", F.spark_partition_id())
-    first = near.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_task").orderBy(*order))).where(F.col("_rank") <= n)
-    return first.drop("_task").withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_rank") <= n).withColumnRenamed("_rank", "rank")
+    return vectors.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= n)
 
 
 def in_range(vectors: DataFrame, start_us: int, end_us: int) -> DataFrame:

@@ -7,18 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidalbook.operators.scan import last_before, running
+from tidalbook.operators.scan import carry, fresh, last_before, running
 
 #: The first cursor in milliseconds that can be a time: 2000-01-01.
 FIRST_MS = 946_684_800_000
 _NONE = "none"
 
 
-def _before(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, bucket_us: str | None) -> DataFrame:
-    return last_before(df, keys, order, value, name, bucket_us)
-
-
-def detect_gaps(events: DataFrame, keys: Sequence[str], lag_seconds: float, order: Sequence[str] = ("arrival_seq",), cadence: Column | None = None, recovery: bool = False, bucket_us: str | None = None) -> DataFrame:
+def detect_gaps(events: DataFrame, keys: Sequence[str], lag_seconds: float, order: Sequence[str] = ("arrival_seq",), cadence: Column | None = None, recovery: bool = False, width: int | None = None) -> DataFrame:
     """Add mode, missing, gap_seconds, strong and irreparable to each row.
 
     Sequence: a numeric ``cursor`` (null where the feed has none) that leaves
@@ -29,12 +25,12 @@ def detect_gaps(events: DataFrame, keys: Sequence[str], lag_seconds: float, orde
     out = events
     has_bars = cadence is not None and "bar_cursor" in events.columns
     if "cursor" in events.columns:
-        out = _before(out, keys, order, F.col("cursor"), "_cursor", bucket_us)
+        out = last_before(out, keys, order, F.col("cursor"), "_cursor", width)
     else:
         out = out.withColumns({"cursor": F.lit(None).cast("bigint"), "_cursor": F.lit(None).cast("bigint")})
     placed = F.when(F.col("bar_cursor") >= FIRST_MS, F.col("bar_cursor")) if has_bars else F.lit(None).cast("bigint")
-    out = _before(out.withColumn("_bar", placed), keys, order, F.col("_bar"), "_bar_before", bucket_us) if has_bars else out.withColumns({"_bar": placed, "_bar_before": placed})
-    out = running(out, keys, order, "max", F.col("event_us"), "_high", bucket_us, inclusive=False)
+    out = last_before(out.withColumn("_bar", placed), keys, order, F.col("_bar"), "_bar_before", width) if has_bars else out.withColumns({"_bar": placed, "_bar_before": placed})
+    out = running(out, keys, order, "max", F.col("event_us"), "_high", width, inclusive=False)
     missing = F.col("cursor") - F.col("_cursor") - 1
     strong = F.coalesce(missing > 0, F.lit(False))
     step = F.greatest((F.col("_bar") - F.col("_bar_before")) / 1000.0, F.lit(0.0))
@@ -55,13 +51,13 @@ def detect_gaps(events: DataFrame, keys: Sequence[str], lag_seconds: float, orde
     ).drop("_cursor", "_bar", "_bar_before", "_high")
 
 
-def late_rows(events: DataFrame, keys: Sequence[str], time: str = "event_us", order: Sequence[str] = ("arrival_seq",), policy: str = "accept", bucket_us: str | None = None) -> DataFrame:
+def late_rows(events: DataFrame, keys: Sequence[str], time: str = "event_us", order: Sequence[str] = ("arrival_seq",), policy: str = "accept", width: int | None = None) -> DataFrame:
     """Add watermark_us, late and lateness_us against the largest time of earlier rows.
 
     policy: ``accept`` keeps late rows marked, ``drop`` leaves them out,
     ``fail`` raises at run time. The watermark closes nothing.
     """
-    out = running(events, keys, order, "max", F.col(time), "watermark_us", bucket_us, inclusive=False)
+    out = running(events, keys, order, "max", F.col(time), "watermark_us", width, inclusive=False)
     late = F.coalesce(F.col(time) < F.col("watermark_us"), F.lit(False))
     out = out.withColumns({"late": late, "lateness_us": F.when(late, F.col("watermark_us") - F.col(time)).otherwise(0)})
     if policy == "drop":
@@ -73,20 +69,22 @@ def late_rows(events: DataFrame, keys: Sequence[str], time: str = "event_us", or
     return out
 
 
-def cumulative_lateness(events: DataFrame, keys: Sequence[str], order: Sequence[str] = ("arrival_seq",)) -> DataFrame:
-    """Running count of late rows and running largest lateness per key."""
-    marked = late_rows(events, keys, order=order)
-    out = running(marked, keys, order, "sum", F.col("late").cast("bigint"), "late_so_far")
-    return running(out, keys, order, "max", F.col("lateness_us"), "worst_so_far")
+def cumulative_lateness(events: DataFrame, keys: Sequence[str], order: Sequence[str] = ("arrival_seq",), width: int | None = None) -> DataFrame:
+    """Running count of late rows, running largest lateness and running largest step in time per key."""
+    (last,) = fresh([*events.columns, "watermark_us", "late", "lateness_us"], "time_before")
+    marked = last_before(late_rows(events, keys, order=order, width=width), keys, order, F.col("event_us"), last, width)
+    step = F.greatest(F.col("event_us") - F.col(last), F.lit(0))
+    sums = {"late_so_far": ("sum", F.col("late").cast("bigint"), True), "worst_so_far": ("max", F.col("lateness_us"), True), "longest_gap_us": ("max", step, True)}
+    return carry(marked, keys, order, sums, width).drop(last)
 
 
-def watermark_reject(events: DataFrame, keys: Sequence[str], bucket_us: str | None = None) -> DataFrame:
+def watermark_reject(events: DataFrame, keys: Sequence[str], width: int | None = None) -> DataFrame:
     """Rows not available before an earlier accepted row of their key.
 
     An accepted row is a running maximum, so the largest of all earlier rows
     is the largest accepted one.
     """
-    return late_rows(events, keys, "available_us", policy="drop", bucket_us=bucket_us).drop("watermark_us", "late", "lateness_us")
+    return late_rows(events, keys, "available_us", policy="drop", width=width).drop("watermark_us", "late", "lateness_us")
 
 
 def bar_gap_count(bars: DataFrame, keys: Sequence[str], interval_us: int, order: Sequence[str] = ("event_us", "arrival_seq")) -> DataFrame:

@@ -1,11 +1,20 @@
-"""Running values per key that do not put a whole key into one task.
+"""Running values and row frames per key that do not put a whole key into one task.
 
 A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task. Here a
-key is cut into time buckets: rows are handled by (key, bucket), each bucket is
-summed up in one row, the few summaries of a key are scanned, and what comes
-before a bucket is joined back to its rows. The results are those of the plain
-window, as all functions offered are associative. A key with a third of all
-rows is spread over its buckets.
+key is cut into ranges of its first order column (a time or an arrival number):
+rows are handled by (key, range), each range is summed up in one row, the few
+summaries of a key are scanned, and what comes before a range is joined back to
+its rows. The results are those of the plain window, as all functions offered
+are associative. A key with a third of all rows is spread over its ranges.
+
+For frames of a bounded number of rows, ``in_chunks`` cuts a key into chunks of
+equally many rows and gives each chunk the last rows of the one before, so that
+a window inside a chunk sees all that its frame reaches.
+
+Keys may be null and are then a key of their own. Rows with a null order come
+first. Equal orders are taken in any order, as in a plain window. Empty tables
+give empty tables. Columns of any name stay: internal names are chosen around
+them.
 """
 
 from __future__ import annotations
@@ -16,59 +25,95 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Order = Sequence[str]
+DAY_US = 86_400_000_000
+#: Arrival numbers that a range takes in.
+ARRIVALS = 1 << 20
+#: Rows of a key that a chunk takes in, without those that it gets from the chunk before.
+CHUNK = 1 << 16
+#: name -> (sum, max, min, count or last, value, whether the row itself counts)
+Running = dict[str, tuple[str, Column, bool]]
 
+_FOLD = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
+_MERGE = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.sum}
 
-def _joined_back(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    right = summary.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[c for c in summary.columns if c not in keys])
-    on = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
-    return df.join(right, on, "left").drop(*[f"_s_{k}" for k in keys])
+
+def fresh(columns: Sequence[str], *names: str) -> list[str]:
+    """These names, each with underscores added until no column has it."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
-def bucket_of(micros: Column, seconds: int) -> Column:
-    """Number of the time bucket of ``seconds`` that a time in epoch microseconds lies in."""
-    return F.floor(micros / F.lit(seconds * 1_000_000))
+def _joined_back(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    own = fresh([*df.columns, *summary.columns], *[f"of_{k}" for k in keys])
+    right = summary.withColumnsRenamed(dict(zip(keys, own, strict=True)))
+    return df.join(right, [F.col(f"`{k}`").eqNullSafe(F.col(f"`{o}`")) for k, o in zip(keys, own, strict=True)], "left").drop(*own)
 
 
-def last_before(df: DataFrame, keys: Order, order: Order, value: Column, name: str, micros: str | None = None, seconds: int = 86_400, inclusive: bool = False) -> DataFrame:
-    """Add ``name``: the last non-null ``value`` of earlier rows of the key (and this one, if inclusive).
+def carry(df: DataFrame, keys: Order, order: Order, values: Running, width: int | None = None) -> DataFrame:
+    """Add a column for each of ``values``: what it comes to over the key's rows so far.
 
-    With ``micros``, the first of ``order`` in epoch microseconds, keys are cut
-    into buckets of ``seconds``; without, a plain window is used.
+    ``last`` is the last value that is not null. With ``width``, keys are cut
+    into ranges of that width of the first of ``order``, a number; without,
+    plain windows are used.
     """
-    end = 0 if inclusive else -1
-    if micros is None:
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumn(name, F.last(value, ignorenulls=True).over(window))
-    cut = [*keys, "_bucket"]
-    marked = df.withColumn("_bucket", bucket_of(F.col(micros), seconds)).withColumn("_value", value)
-    inside = Window.partitionBy(*cut).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    rows = marked.withColumn("_own", F.last("_value", ignorenulls=True).over(inside))
-    summary = marked.where(F.col("_value").isNotNull()).groupBy(*cut).agg(F.max_by("_value", F.struct(*order)).alias("_last"))
-    every = _joined_back(marked.select(*cut).distinct(), summary, cut)
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = every.select(*cut, F.last("_last", ignorenulls=True).over(before).alias("_carried"))
-    return _joined_back(rows, carried, cut).withColumn(name, F.coalesce("_own", "_carried")).drop("_bucket", "_value", "_own", "_carried")
-
-
-def running(df: DataFrame, keys: Order, order: Order, what: str, value: Column, name: str, micros: str | None = None, seconds: int = 86_400, inclusive: bool = True) -> DataFrame:
+    fold = lambda what, value: F.last(value, ignorenulls=True) if what == "last" else _FOLD[what](value)
+    before = lambda by, own: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    if width is None:
+        return df.withColumns({n: fold(what, value).over(before(keys, own)) for n, (what, value, own) in values.items()})
+    names = list(values)
+    cut, *extra = fresh([*df.columns, *names], "range", *[f"{kind}_{k}" for kind in ("value", "sum", "carried") for k in range(len(names))])
+    given, sums, carried = (extra[k * len(names) : (k + 1) * len(names)] for k in range(3))
+    by = [*keys, cut]
+    marked = df.withColumns({cut: F.floor(F.col(order[0]) / F.lit(width)), **{g: values[n][1] for g, n in zip(given, names, strict=True)}})
+    rows = marked.withColumns({n: fold(values[n][0], F.col(g)).over(before(by, values[n][2])) for g, n in zip(given, names, strict=True)})
+    at = F.struct(*order)
+    total = lambda what, g: F.max_by(g, F.when(F.col(g).isNotNull(), at)) if what == "last" else _FOLD[what](g)
+    summary = marked.groupBy(*by).agg(*[total(values[n][0], g).alias(s) for n, g, s in zip(names, given, sums, strict=True)])
+    earlier = Window.partitionBy(*keys).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+    merge = lambda what, s: F.last(s, ignorenulls=True) if what == "last" else _MERGE[what](s)
+    summary = summary.select(*by, *[merge(values[n][0], s).over(earlier).alias(c) for n, s, c in zip(names, sums, carried, strict=True)])
+    out = _joined_back(rows, summary, by)
+
+    def whole(what: str, name: str, kept: str) -> Column:
+        own, past = F.col(name), F.col(kept)
+        if what in ("sum", "count"):
+            return F.coalesce(own + past, own, past)
+        return F.coalesce(own, past) if what == "last" else (F.greatest if what == "max" else F.least)(own, past)
+
+    return out.withColumns({n: whole(values[n][0], n, c) for n, c in zip(names, carried, strict=True)}).drop(cut, *given, *carried)
+
+
+def last_before(df: DataFrame, keys: Order, order: Order, value: Column, name: str, width: int | None = None, inclusive: bool = False) -> DataFrame:
+    """Add ``name``: the last non-null ``value`` of earlier rows of the key (and this one, if inclusive)."""
+    return carry(df, keys, order, {name: ("last", value, inclusive)}, width)
+
+
+def running(df: DataFrame, keys: Order, order: Order, what: str, value: Column, name: str, width: int | None = None, inclusive: bool = True) -> DataFrame:
     """Add ``name``: running ``what`` (sum, max, min or count) of ``value`` over the key's rows so far."""
-    fold = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[what]
-    merge = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.sum}[what]
-    end = 0 if inclusive else -1
-    if micros is None:
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumn(name, fold(value).over(window))
-    cut = [*keys, "_bucket"]
-    marked = df.withColumn("_bucket", bucket_of(F.col(micros), seconds)).withColumn("_value", value)
-    inside = Window.partitionBy(*cut).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    rows = marked.withColumn("_own", fold("_value").over(inside))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = marked.groupBy(*cut).agg(fold("_value").alias("_sum")).select(*cut, merge("_sum").over(before).alias("_carried"))
-    both = {"sum": F.col("_own") + F.col("_carried"), "count": F.col("_own") + F.col("_carried"), "max": F.greatest("_own", "_carried"), "min": F.least("_own", "_carried")}[what]
-    total = F.coalesce(both, F.col("_own"), F.col("_carried"))
-    return _joined_back(rows, carried, cut).withColumn(name, total).drop("_bucket", "_value", "_own", "_carried")
-
-
-def positions(df: DataFrame, keys: Order, order: Order, name: str, micros: str | None = None, seconds: int = 86_400) -> DataFrame:
+    return carry(df, keys, order, {name: (what, value, inclusive)}, width)
+
+
+def positions(df: DataFrame, keys: Order, order: Order, name: str, width: int | None = None) -> DataFrame:
     """Add ``name``: the row's number within its key, from 1."""
-    return running(df, keys, order, "count", F.lit(1), name, micros, seconds)
+    return running(df, keys, order, "count", F.lit(1), name, width)
+
+
+def in_chunks(df: DataFrame, number: str, counts: Column, reach: int, chunk: str, lent: str, size: int = CHUNK) -> DataFrame:
+    """Add ``chunk`` and ``lent``: rows by chunks of their key, each with what it needs of the chunk before.
+
+    ``number`` counts the rows of the key, up to this one, for which ``counts``
+    is true. A frame over (key, chunk) that reaches back over at most ``reach``
+    such rows is complete for the rows that are not ``lent``.
+    """
+    size = max(size, 4 * reach)
+    place = F.greatest(F.col(number) - 1, F.lit(0))
+    at = F.floor(place / size)
+    own = F.struct(at.alias(chunk), F.lit(False).alias(lent))
+    copied = counts & (place % size >= size - reach)
+    both = F.when(copied, F.array(own, F.struct((at + 1).alias(chunk), F.lit(True).alias(lent)))).otherwise(F.array(own))
+    return df.select("*", F.inline(both))
