@@ -66,6 +66,24 @@ def test_toxicity_rejects_alike_whatever_the_bound_of_the_sample(spark):
     assert share[300] == pytest.approx(share[8000], rel=0.15)
 
 
+def keep_general(group, size, similarity, where, first, enough, keeper):
+    """Lines that the template of a group takes in have one keeper, if they recur."""
+    general = []
+    for place in range(size):
+        votes = Counter()
+        for t in group:
+            votes[t[place]] += len(where[t])
+        n, token = max((n, token.encode()) for token, n in votes.items())
+        general.append(token.decode() if n >= similarity * sum(votes.values()) and token != b"<*>" else None)
+    if sum(g is not None for g in general) < similarity * size:
+        return
+    members = [t for t in group if sum(g is None or g == x for g, x in zip(general, t, strict=True)) >= similarity * size]
+    if members and len(set().union(*(where[t] for t in members))) >= enough(members[0]):
+        least = min(first[t] for t in members)
+        for t in members:
+            keeper[t] = min(keeper.get(t, least), least)
+
+
 def brute_lines(rows, depth=3, similarity=0.8):
     """Texts after dropping recurring lines, by the rules in the module's docstring, in plain loops."""
     lines = []
@@ -85,23 +103,19 @@ def brute_lines(rows, depth=3, similarity=0.8):
     leaves = defaultdict(list)
     for t in where:
         leaves[(len(t), t[:depth])].append(t)
-    for (size, _), group in leaves.items():
-        if len(group) < 2 or size <= depth or sum(len(where[t]) for t in group) < enough(group[0]):
-            continue
-        general = []
-        for place in range(size):
-            votes = Counter()
-            for t in group:
-                votes[t[place]] += len(where[t])
-            n, token = max((n, token.encode()) for token, n in votes.items())
-            general.append(token.decode() if n >= similarity * sum(votes.values()) and token != b"<*>" else None)
-        if sum(g is not None for g in general) < similarity * size:
+    for (size, _), leaf in leaves.items():
+        if len(leaf) < 2 or size <= depth or sum(len(where[t]) for t in leaf) < enough(leaf[0]):
             continue
-        members = [t for t in group if sum(g is None or g == x for g, x in zip(general, t, strict=True)) >= similarity * size]
-        if members and len(set().union(*(where[t] for t in members))) >= enough(members[0]):
-            least = min(first[t] for t in members)
-            for t in members:
-                keeper[t] = min(keeper.get(t, least), least)
+        free = size - depth
+        at_once = 3 if free >= 6 else 2 if free >= 4 else 1
+        step = -(-free // at_once)
+        for pick in range(min(6, free)):
+            groups = defaultdict(list)
+            for t in leaf:
+                groups[tuple(t[depth + (pick + k * step) % free] for k in range(at_once))].append(t)
+            for group in groups.values():
+                if len(group) > 1:
+                    keep_general(group, size, similarity, where, first, enough, keeper)
     gone = {(at, number) for at, doc, number, tokens in lines if tokens in keeper and doc is not None and rank(doc, at, number) != keeper[tokens]}
     return [(doc, None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if (at, k) not in gone)) for at, (doc, text) in enumerate(rows)]
 
@@ -126,6 +140,15 @@ def test_line_dedup_equals_brute_force(spark, seed):
     assert sorted(map(str, ((r.doc_id, r.text) for r in got))) == sorted(map(str, brute_lines(rows)))
 
 
+def test_two_families_of_lines_in_one_leaf_are_both_dropped(spark):
+    names = [f"{a}{b}" for a in "bcdfg" for b in ("ar", "el")]
+    one = [f"all users saw {n} leave the main office before noon today" for n in names]
+    two = [f"all users saw rain fall on every\troof of {n} last night" for n in names]
+    rows = list(enumerate(one + two)) + [(50, "all users saw something else that stands in no other line at all"), (51, None)]
+    got = {r.doc_id: r.text for r in line_dedup.drop_recurring_lines(documents(spark, rows)).collect()}
+    assert {i for i, t in got.items() if t} == {0, 10, 50}
+
+
 def test_line_dedup_query(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
     got = queries.op5_line_dedup(spark, SMALL).collect()
