@@ -17,7 +17,7 @@ from tests.llm.frames import documents, nothing, texts
 from tidalbook.llm import decontam, line_dedup, queries, simhash, toxicity
 from tidalbook.llm._shared import table, with_mark
 
-MIDDLE = "/root/testdata/sf0.01"
+MIDDLE, LARGE = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 def test_toxicity_on_held_out_rows(spark):
@@ -27,9 +27,69 @@ def test_toxicity_on_held_out_rows(spark):
     assert len(got) == spark.read.parquet(f"{MIDDLE}/documents.parquet").count()
     right = sum(got[r.doc_id].predicted == r.toxic for r in labels)
     assert right >= 0.9 * len(labels)
+    got = {r.doc_id: r for r in queries.op3_toxicity(spark, LARGE).collect()}
+    labels = [r for r in spark.read.parquet(f"{LARGE}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    for side in (0, 1):
+        said, true = ({r.doc_id for r in labels if (got[r.doc_id].predicted if which else r.toxic) == side} for which in (1, 0))
+        assert len(said & true) >= 0.85 * len(said) and len(said & true) >= 0.85 * len(true)
     assert all(r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in got.values())
 
 
+def test_toxicity_outvotes_wrong_labels(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    wrong = "pmod(xxhash64(doc_id, 3), 12) = 0 and crc32(cast(doc_id as string)) % 5 <> 0"
+    noisy = labels.selectExpr("doc_id", f"case when {wrong} then 1 - toxic else toxic end as toxic")
+    sample = toxicity.stored(toxicity.training_sample(docs, noisy), "sample")
+    votes, gold, weight = toxicity._vote_table(sample, *toxicity.mine_voters(sample))
+    posterior, _ = toxicity.label_model(votes, gold, weight=weight)
+    assert ((posterior > 0.5) != (gold == 1)).mean() > 0.02
+    got = toxicity.score_toxicity(docs, noisy).where("held_out").join(labels, "doc_id").groupBy("toxic", "predicted").count().collect()
+    n = {(r.toxic, r.predicted): r["count"] for r in got}
+    assert n[1, 1] >= 0.65 * (n[1, 1] + n.get((1, 0), 0)) and n[1, 1] >= 0.9 * (n[1, 1] + n.get((0, 1), 0))
+
+
+def brute_em(votes, gold, rounds):
+    """The model's independent case in plain loops: voters that never fire together have no share to give away."""
+    right, wrong = toxicity.GOLD_PRIOR
+    post = [(right if g else wrong) / (right + wrong) for g in gold]
+    for _ in range(rounds):
+        toxic, clean = sum(post), sum(1 - p for p in post)
+        rates = [((sum(v[k] * p for v, p in zip(votes, post, strict=True)) + 0.5) / (toxic + 1), (sum(v[k] * (1 - p) for v, p in zip(votes, post, strict=True)) + 0.5) / (clean + 1)) for k in range(len(votes[0]))]
+        sides = []
+        for v in votes:
+            yes, no = toxic, clean
+            for x, (a, b) in zip(v, rates, strict=True):
+                yes, no = yes * (a if x else 1 - a), no * (b if x else 1 - b)
+            sides.append((yes, no))
+        voted = [yes / (yes + no) for yes, no in sides]
+        caught = (sum(p * g for p, g in zip(voted, gold, strict=True)) + right) / (sum(voted) + right + wrong)
+        blamed = (sum((1 - p) * g for p, g in zip(voted, gold, strict=True)) + wrong) / (sum(1 - p for p in voted) + right + wrong)
+        post = []
+        for (yes, no), g in zip(sides, gold, strict=True):
+            yes, no = yes * (caught if g else 1 - caught), no * (blamed if g else 1 - blamed)
+            post.append(yes / (yes + no))
+    return post
+
+
+def test_label_model_equals_plain_loops():
+    votes = np.array([[1.0]] * 30 + [[0.0]] * 70)
+    gold = np.array([1] * 25 + [0] * 5 + [1] * 3 + [0] * 67)
+    got, _ = toxicity.label_model(votes, gold, rounds=5)
+    assert got == pytest.approx(brute_em(votes.tolist(), gold.tolist(), 5), abs=1e-3)
+    rng = np.random.default_rng(6)
+    hidden = rng.random(1500) < 0.3
+    votes = np.column_stack([np.where(hidden, rng.random(1500) < 0.8, rng.random(1500) < 0.05) for _ in range(6)]).astype(float)
+    gold = np.where(rng.random(1500) < 0.2, ~hidden, hidden).astype(int)
+    posterior, _ = toxicity.label_model(votes, gold)
+    assert ((posterior > 0.5) == hidden).mean() > 0.95 > (gold == hidden).mean()
+
+
+def test_a_doc_id_with_very_many_rows_is_one_row_of_the_sample(spark):
+    docs = spark.range(5000).selectExpr("1 as doc_id", "concat('text ', id) as text").union(spark.sql("select 2, 'other'"))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+    assert toxicity.training_sample(docs, labels).count() <= 2
+
+
 def test_toxicity_learns_nothing_from_held_out_labels(spark):
     docs, labels = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
     turned = labels.selectExpr("doc_id", "quality", "case when crc32(cast(doc_id as string)) % 5 = 0 then 1 - toxic else toxic end as toxic")

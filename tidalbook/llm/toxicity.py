@@ -2,21 +2,23 @@
 
 1. Voters. Lexicon voters are words, pattern voters are word beginnings of 4 to
    6 letters, which catch inflected forms. They are mined from a sample of
-   labelled rows by how much oftener toxic texts hold them. A voter votes
-   "toxic" on a text that holds it and otherwise abstains. Where no labelled
-   row is toxic, the few words of SEEDS are the voters.
+   labelled rows by how much oftener toxic texts hold them, or (CLEAN_VOTERS)
+   clean ones. A voter fires on a text that holds it and otherwise abstains.
+   Where no labelled row is toxic, the few words of SEEDS are the voters.
 2. Label model. A generative model with a hidden label for each sampled text:
-   each voter fires with one rate on toxic texts and one on clean ones. EM
-   estimates the rates and the hidden labels; the given label takes part as
-   one more voter of accuracy GOLD_ACCURACY, as labels err too. Voters that
-   fire together are not independent, so their correlations given the hidden
-   label are estimated as well and each voter's evidence is divided by the
-   number of votes that it effectively repeats.
+   each voter fires with one rate on toxic texts and one on clean ones, and so
+   does the given label, as labels err too; its rates are estimated by what the
+   voters alone say, from a prior of GOLD_PRIOR right and wrong labels of each
+   class. EM estimates the rates and the hidden labels. Voters that fire together are
+   not independent, so their correlations given the hidden label are estimated
+   as well and each voter's evidence is divided by the number of votes that it
+   effectively repeats.
 3. Classifier. A logistic regression on the voters, and on how many of them
    fire, is fitted to the posterior labels. Its output is the score.
 
 Bounds: the sample has at most TRAIN_ROWS labelled rows of each class, those
-with the smallest hash of the doc_id; at most VOTERS voters. Both classes are
+with the smallest hash of the doc_id, and one text of each doc_id; at most VOTERS
+and CLEAN_VOTERS voters. Both classes are
 counted over all allowed labels, and sampled rows are weighted by the true
 shares of the classes, so the bound does not move the threshold. What the driver
 holds is one vote bit per sampled row and voter, whatever the corpus. Scoring
@@ -41,7 +43,10 @@ TRAIN_ROWS = 8_000
 VOTERS = 192
 MIN_SUPPORT = 3
 MIN_LIFT = 4.0
-GOLD_ACCURACY = 0.97
+CLEAN_VOTERS = 32
+#: A voter for clean texts stands in this share of them, and is so many times as frequent there.
+CLEAN_SHARE, CLEAN_LIFT = 0.02, 2.0
+GOLD_PRIOR = (29.0, 1.0)
 FOLDS = 5
 STEMS = (4, 5, 6)
 EM_ROUNDS = 30
@@ -98,7 +103,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     """(text, toxic, weight) of at most ``rows`` labelled rows of either class, none held out.
 
     weight restores the shares that the classes have among all allowed labels;
-    its mean over the sampled labels is 1. A doc_id with several labels is toxic if one of them says so.
+    its mean over the sampled labels is 1. A doc_id with several labels is toxic
+    if one of them says so; of several texts of one doc_id the least is taken.
     """
     one = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     spark = docs.sparkSession
@@ -112,12 +118,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     counted = {r.toxic: r["count"] for r in one.where("toxic in (0, 1)").groupBy("toxic").count().collect()}
     taken, known_rows = sum(map(len, classes)), sum(counted.values())
     chosen = [(r.doc_id, r.toxic, counted[r.toxic] * taken / (len(c) * known_rows)) for c in classes for r in c]
-    sample = spark.createDataFrame(chosen, one.schema.add("weight", "double")).withColumnRenamed("doc_id", "_id")
-    return docs.join(F.broadcast(sample), docs.doc_id == F.col("_id")).select("text", "toxic", "weight")
+    sample = spark.createDataFrame(chosen, one.schema.add("weight", "double")).withColumnRenamed("doc_id", "labelled_id")
+    found = docs.withColumnRenamed("doc_id", "text_id").join(F.broadcast(sample), F.col("text_id") == F.col("labelled_id"))
+    return found.groupBy("labelled_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"), F.first("weight").alias("weight")).drop("labelled_id")
 
 
-def mine_voters(sample: DataFrame, voters: int = VOTERS, support: int = MIN_SUPPORT, lift: float = MIN_LIFT) -> tuple[list[str], list[str]]:
-    """Words and beginnings that toxic texts hold ``lift`` times as often as clean ones."""
+def mine_voters(sample: DataFrame, voters: int = VOTERS, support: int = MIN_SUPPORT, lift: float = MIN_LIFT, clean_voters: int = CLEAN_VOTERS) -> tuple[list[str], list[str]]:
+    """Words and beginnings that toxic texts hold ``lift`` times as often as clean ones, and some that clean texts hold oftener."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
@@ -139,27 +146,27 @@ def mine_voters(sample: DataFrame, voters: int = VOTERS, support: int = MIN_SUPP
     if total is None or not total.toxic:
         return list(SEEDS), []
     rate = lambda n, of: (F.col(n) + 0.5) / (of + 1.0)
-    gain = F.col("toxic") * F.ln(rate("toxic", total.toxic) / rate("clean", total.clean))
-    best = (
-        counts.where((F.col("feature") != "") & (F.col("toxic") >= min(support, total.toxic)))
-        .where(rate("toxic", total.toxic) >= lift * rate("clean", total.clean))
-        .select("feature", gain.alias("gain"))
-        .orderBy(F.desc("gain"), "feature")
-        .limit(voters)
-        .collect()
+    toxic, clean = rate("toxic", total.toxic), rate("clean", total.clean)
+    named = counts.where(F.col("feature") != "")
+    sides = (
+        (named.where((F.col("toxic") >= min(support, total.toxic)) & (toxic >= lift * clean)), F.col("toxic") * F.ln(toxic / clean), voters),
+        (named.where((clean >= CLEAN_SHARE) & (clean >= CLEAN_LIFT * toxic)), F.col("clean") * F.ln(clean / toxic), clean_voters),
     )
-    words = [r.feature[1:] for r in best if r.feature[0] == "w"]
-    return (words, [r.feature[1:] for r in best if r.feature[0] == "s"]) if best else (list(SEEDS), [])
+    best = [r.feature for side, gain, most in sides for r in side.select("feature", gain.alias("gain")).orderBy(F.desc("gain"), "feature").limit(most).collect()]
+    words = [f[1:] for f in best if f[0] == "w"]
+    return (words, [f[1:] for f in best if f[0] == "s"]) if best else (list(SEEDS), [])
 
 
 def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = EM_ROUNDS, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(posterior of toxic for each row, correlation matrix of the voters).
 
     votes: rows x voters, 0 or 1. gold: the given labels, which start EM and
-    take part as a voter of fixed accuracy. weight: how many rows a row stands for.
+    take part as a voter whose rates are estimated. weight: how many rows a row
+    stands for.
     """
     weight = np.ones(len(votes)) if weight is None else weight
-    posterior = np.where(gold == 1, GOLD_ACCURACY, 1 - GOLD_ACCURACY)
+    right, wrong = GOLD_PRIOR
+    posterior = np.where(gold == 1, right, wrong) / (right + wrong)
     share = np.ones(votes.shape[1])
     correlated = np.eye(votes.shape[1])
     for _ in range(rounds):
@@ -172,7 +179,10 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = EM_ROUNDS, we
         correlated = np.clip(cover / np.outer(spread, spread), 0, 1)
         share = 1 / np.maximum(correlated.sum(axis=1), 1)
         odds = np.log(toxic / clean) + (votes * (np.log(fires / falsely) * share)).sum(axis=1) + ((1 - votes) * (np.log((1 - fires) / (1 - falsely)) * share)).sum(axis=1)
-        odds += np.where(gold == 1, 1, -1) * np.log(GOLD_ACCURACY / (1 - GOLD_ACCURACY))
+        voted = weight / (1 + np.exp(-np.clip(odds, -30, 30)))  # by the voters alone, so that the labels do not confirm themselves
+        caught = ((voted * gold).sum() + right) / (voted.sum() + right + wrong)
+        blamed = (((weight - voted) * gold).sum() + wrong) / ((weight - voted).sum() + right + wrong)
+        odds += np.where(gold == 1, np.log(caught / blamed), np.log((1 - caught) / (1 - blamed)))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - posterior).max() < 1e-4:
             posterior = new
