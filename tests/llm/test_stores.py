@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import random
 import zipfile
 import zlib
 
@@ -78,6 +79,21 @@ def pages(spark):
     return spark.createDataFrame([(i, u, h, "x") for i, u, h in PAGES], "page_id bigint, url string, html string, digest string")
 
 
+def test_warc_of_equal_and_null_pages_equals_brute_force(spark, tmp_path):
+    rng = random.Random(4)
+    bodies = [None, "", "<p>one</p>", "<p>two</p>" * 50, "ü" * 3000]
+    rows = [(rng.randrange(300), "u", rng.choice(bodies) if rng.random() < 0.7 else f"<p>own {k}</p>") for k in range(400)] + [(None, None, "<p>one</p>"), (7, "u", "x" * 300_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    owner = {}
+    for i, _, h in rows:
+        if i is not None:
+            owner[h or ""] = max(owner.get(h or "", i), i)
+    want = sorted((str(i), len((h or "").encode()), None if i == owner[h or ""] else owner[h or ""]) for i, _, h in rows)
+    got = [r for r in warc.archive_round_trip(spark, pages).collect()]
+    assert sorted(((str(r.page_id), r.payload_bytes, r.refers_to) for r in got), key=str) == sorted(want, key=str)
+    assert all((r.record_type == "response") == (r.refers_to is None) for r in got)
+
+
 def test_warc_cases(spark, tmp_path):
     folder = f"file://{tmp_path}/packages"
     packages = warc.write_packages(pages(spark), folder, package_bytes=200)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 import tiktoken
@@ -154,6 +155,29 @@ def test_decontamination_equals_brute_force(spark, block_words):
     assert all(r.contaminated == (r.n_hit > 0 and 20 * r.n_hit >= r.n_words) for r in got)
 
 
+def test_equal_windows_cost_one_look_and_name_all_their_items(spark):
+    import time
+
+    stock = "it was a dark and stormy night and the rain fell in torrents over all of the town".split()
+    took = []
+    for n in (1, 2_000):
+        items = [(f"i{k}", [w.encode() for w in [f"q{k}", *stock, f"z{k}"]]) for k in range(n)]
+        text = [w.encode() for w in stock] * 60
+        table = decontam.prefixes(items, Counter(text), 13)
+        began = time.perf_counter()
+        spans, found = decontam.occurrences(text, items, table, 13)
+        took.append(time.perf_counter() - began)
+        assert spans == [(0, len(text))] and found == set(range(n))
+    assert took[1] < 100 * took[0] + 0.5
+
+
+def test_planted_passages_are_dropped_and_clean_documents_stay(spark):
+    item = " ".join(f"answer{k}" for k in range(30))
+    docs = documents(spark, [(1, f"before it {item} after it"), (2, "word " * 700 + " ".join(item.split()[:13])), (3, "nothing of it"), (4, " ".join(item.split()[:12])), (5, None)])
+    bench = spark.createDataFrame([("b", item), ("c", "tiny item"), ("d", None)], "item_id string, text string")
+    assert {r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()} == {2, 3, 4, 5}
+
+
 def test_decontamination_empty_tables(spark):
     docs, benchmark = documents(spark), spark.createDataFrame([], "item_id string, text string")
     assert {r.n_hit for r in decontam.find_contamination(docs, benchmark).collect()} == {0}

@@ -6,7 +6,8 @@ lies in an occurrence of any window.
 
 An occurrence holds every word of its window, so for containment a prefix of
 one word is enough: the window's rarest, by a count over the whole corpus. The
-join goes over that prefix word alone; what it proposes is bounded by length
+join goes over that prefix word and, where all windows of an entry hold it, the
+word beside it; windows that several items share are one entry. What it proposes is bounded by length
 (the document must be as long as the window) and position (the window must fit
 around the prefix word), and is then compared word for word.
 
@@ -22,8 +23,10 @@ How it scales
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,8 +44,15 @@ _FOLD = bytes.maketrans(
 )
 
 Item = tuple[str, list[bytes]]
-#: prefix word -> (item number, place of the word in the item, first window start, last window start)
-Prefixes = dict[bytes, list[tuple[int, int, int, int]]]
+#: (item number, place of the prefix word in the item, first window start, last window start)
+Run = tuple[int, int, int, int]
+
+
+class Prefixes(NamedTuple):
+    """Different windows by prefix word and a neighbour of it, and the other items that have a window."""
+
+    runs: dict[bytes, dict[bytes, list[Run]]]
+    also: dict[tuple[int, int], list[int]]
 
 
 def words(text: str | None) -> list[bytes]:
@@ -53,32 +63,64 @@ def words(text: str | None) -> list[bytes]:
 def prefixes(items: list[Item], counts: dict[bytes, int], window: int) -> Prefixes:
     """Windows by their rarest word; ties go to the word's bytes, then the first place.
 
-    Consecutive windows with the same prefix place are one entry.
+    Of equal windows only the first is looked for; ``also`` names the items of
+    the others. Consecutive windows with the same prefix place are one entry.
     """
-    out: Prefixes = defaultdict(list)
+    runs: dict[bytes, dict[bytes, list[Run]]] = defaultdict(lambda: defaultdict(list))
+    also: dict[tuple[int, int], list[int]] = defaultdict(list)
+    seen: dict[bytes, tuple[int, int]] = {}
+
+    def add(number: int, item: list[bytes], place: int, first: int, last: int) -> None:
+        """Under the word after the prefix word, or before it, that all windows of the run hold; else under none."""
+        size = min(window, len(item))
+        near = b"+" + item[place + 1] if place + 1 < first + size else b"-" + item[place - 1] if place - 1 >= last else b""
+        runs[item[place]][near].append((number, place, first, last))
+
     for number, (_, item) in enumerate(items):
         last = max(len(item) - window, 0)
         run: tuple[int, int] | None = None
         for start in range(last + 1):
+            content = b" ".join(item[start : start + window])
+            owner = seen.setdefault(hashlib.blake2b(content, digest_size=16).digest(), (number, start))
+            if owner != (number, start):
+                if owner[0] != number:
+                    also[owner].append(number)
+                if run:
+                    add(number, item, run[0], run[1], start - 1)
+                run = None
+                continue
             place = min(range(start, min(start + window, len(item))), key=lambda p: (counts.get(item[p], 0), item[p], p))
             if run and run[0] == place:
                 continue
             if run:
-                out[item[run[0]]].append((number, run[0], run[1], start - 1))
+                add(number, item, run[0], run[1], start - 1)
             run = (place, start)
-        out[item[run[0]]].append((number, run[0], run[1], last))
-    return dict(out)
+        if run:
+            add(number, item, run[0], run[1], last)
+    return Prefixes({word: dict(near) for word, near in runs.items()}, dict(also))
 
 
 def occurrences(text_words: list[bytes], items: list[Item], table: Prefixes, window: int) -> tuple[list[tuple[int, int]], set[int]]:
     """Spans (start, end) of the words hit, merged and in order, and the items found."""
     spans: list[tuple[int, int]] = []
     found: set[int] = set()
-    if table.keys().isdisjoint(text_words):
+    noted: set[tuple[int, int]] = set()
+    if table.runs.keys().isdisjoint(text_words):
         return spans, found
     n = len(text_words)
+
+    def proposed(at: int, near: dict[bytes, list[Run]]) -> Iterator[Run]:
+        yield from near.get(b"", ())
+        if at + 1 < n:
+            yield from near.get(b"+" + text_words[at + 1], ())
+        if at:
+            yield from near.get(b"-" + text_words[at - 1], ())
+
     for at, word in enumerate(text_words):
-        for number, place, first, last in table.get(word, ()):
+        near = table.runs.get(word)
+        if near is None:
+            continue
+        for number, place, first, last in proposed(at, near):
             item = items[number][1]
             size = min(window, len(item))
             if n < size:
@@ -96,6 +138,10 @@ def occurrences(text_words: list[bytes], items: list[Item], table: Prefixes, win
             if first <= last:
                 spans.append((at - place + first, at - place + last + size))
                 found.add(number)
+                for key in ((number, start) for start in range(first, last + 1)) if table.also else ():
+                    if key not in noted:
+                        noted.add(key)
+                        found.update(table.also.get(key, ()))
     spans.sort()
     merged: list[tuple[int, int]] = []
     for start, end in spans:

@@ -3,8 +3,9 @@
 Writing. Payloads with equal digests are stored once: of the records with equal
 payloads the one with the largest page_id is the response, the others are
 revisits that name it; payloads under ``min_bytes`` are all responses. Which is
-which comes from an aggregate over (digest, page_id) alone, joined back by
-digest. Each task then writes packages into the shared folder: a ZIP with one
+which comes from an aggregate over (digest, page_id) alone. A bitmap of fixed
+size marks the pages whose payload is not alone; only those are shuffled, by
+page_id and digest, so that no digest is one task's work. Each task then writes packages into the shared folder: a ZIP with one
 stored member of gzipped WARC records, one a record, and one stored member
 that indexes them by offset and length. A package is closed at
 ``package_bytes``, so none grows with a partition.
@@ -38,7 +39,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidalbook.llm._shared import new_path, row_slices, stored
+from tidalbook.llm._shared import new_path, row_slices, stored, with_mark
 
 PACKAGE_BYTES = 128 << 20
 GZIP_LEVEL = 5
@@ -135,9 +136,13 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
     keyed = rows.withColumn("digest", F.unhex(F.sha1("payload")))
     large = keyed.where(F.octet_length("payload") >= min_bytes)
     owners = stored(large.groupBy("digest").agg(F.max("page_id").alias("owner"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("owned"), "owner"), "payload-owners")
-    joined = keyed.join(owners, keyed.digest == owners.owned, "left")
+    known = keyed.select("page_id", "digest").distinct().join(owners, F.col("digest") == F.col("owned"))
+    known = stored(known.select(F.col("page_id").alias("known_id"), F.col("digest").alias("known_digest"), "owner"), "shared-payloads")
+    shared = with_mark(keyed, F.xxhash64("page_id", "digest"), known.select(F.xxhash64("known_id", "known_digest")), "shared")
+    joined = shared.where("shared").join(known, F.col("page_id").eqNullSafe(F.col("known_id")) & (F.col("digest") == F.col("known_digest")), "left")
     refers = F.when(F.col("page_id").eqNullSafe(F.col("owner")), None).otherwise(F.col("owner"))
-    ready = joined.select("page_id", "url", "payload", refers.alias("refers_to"))
+    alone = shared.where("not shared").select("page_id", "url", "payload", F.lit(None).cast("bigint").alias("refers_to"))
+    ready = alone.unionByName(joined.select("page_id", "url", "payload", refers.alias("refers_to")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer: PackageWriter | None = None
