@@ -184,6 +184,14 @@ def test_chat_texts_survive(spark):
     assert list(back.losses) == [t or "" for t in nasty]
 
 
+def test_streamed_turns_fold_back_to_themselves(spark):
+    rows = [(1, 0, "user", "ab" * 700), (1, 1, "assistant", "é🙂" * 256), (1, 1, "assistant", ""), (1, 1, "assistant", ""), (None, None, None, None), (2, 0, "assistant", None), (2, 2**40, "tool", "x" * 256)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = chat.fold_messages(chat.streamed(turns)).select("conv_id", "seq.turn", "role", "text")
+    assert rows_of(got.withColumnRenamed("turn", "t")) == rows_of(turns.fillna({"text": ""}).withColumnRenamed("turn", "t"))
+    assert chat.format_chats(chat.streamed(nothing(turns))).count() == 0
+
+
 def test_chat_plan_is_native(spark):
     plan = queries.op9_chat_format(spark, SMALL)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "InArrow"))

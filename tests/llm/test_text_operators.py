@@ -284,4 +284,8 @@ def test_chat_query_folds_every_turn_as_a_message(spark, monkeypatch):
     queries.op9_chat_format(spark, SMALL)
     (log,) = logs
     assert log.where("message is null").count() == 0
-    assert log.select("conv_id", "message").distinct().count() == log.count() > 2
+    turns = spark.read.parquet(f"{SMALL}/conversations.parquet").count() + 2
+    assert log.select("conv_id", "message").distinct().count() == turns < log.count()
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    plan = whole(log)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regenerate" in plan and "aggregate(" in plan

@@ -15,7 +15,7 @@ event is a message of its own), ``kind``, ``role``, ``text``.
   and later deltas are appended to it.
 
 A message stands where its first event stands; its role is that of its first
-event that names one. Events with equal seq are taken in the order kind, role,
+event that names one, or null. Events with equal seq are taken in the order kind, role,
 text, with nulls first. Any other kind changes nothing.
 
 The template
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
+PIECE = 256
 
 
 def escape(text: Column) -> Column:
@@ -50,6 +51,24 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("&#10;"), F.lit("\n")))
 
 
+def streamed(turns: DataFrame, piece: int = PIECE) -> DataFrame:
+    """The event log that a chat service would leave of ``turns`` (conv_id, turn, role, text).
+
+    An assistant's message is begun with a draft, regenerated, and streamed in
+    deltas of ``piece`` code points; any other is sent with a slip and edited.
+    Each row is a message of its own, repeated rows too. seq is (turn, number of
+    the event in its message). Null texts count as empty.
+    """
+    rows = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("message"))
+    size = F.char_length("text")
+    event = lambda number, kind, text: F.struct(number.cast("int").alias("number"), F.lit(kind).alias("kind"), text.alias("text"))
+    draft = F.array(event(F.lit(0), "delta", F.lit("On second thoughts")), event(F.lit(1), "regenerate", F.lit(None).cast("string")))
+    deltas = F.transform(F.sequence(F.lit(0), F.floor(size / piece).cast("int")), lambda k: event(k + 2, "delta", F.substr("text", k * piece + 1, F.lit(piece))))
+    sent = F.array(event(F.lit(0), "message", F.concat(F.lit("*"), F.substr("text", F.lit(1), F.lit(piece)))), event(F.lit(1), "edit", F.col("text")))
+    log = rows.select("conv_id", "turn", "message", "role", F.inline(F.when(F.col("role") == "assistant", F.concat(draft, deltas)).otherwise(sent)))
+    return log.select("conv_id", F.struct("turn", "number").alias("seq"), "message", "kind", "role", "text")
+
+
 def fold_messages(events: DataFrame) -> DataFrame:
     """(conv_id, seq, role, text): the final messages of the log.
 
@@ -70,7 +89,7 @@ def fold_messages(events: DataFrame) -> DataFrame:
     folded = several.select(
         "conv_id",
         F.col("events")[0]["seq"].alias("seq"),
-        F.filter(F.transform("events", lambda e: e["role"]), lambda r: r.isNotNull())[0].alias("role"),
+        F.get(F.filter(F.transform("events", lambda e: e["role"]), lambda r: r.isNotNull()), F.lit(0)).alias("role"),
         F.array_join(F.aggregate("events", F.array().cast("array<string>"), step), "").alias("text"),
     )
     return alone.unionByName(folded)

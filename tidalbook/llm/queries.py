@@ -66,10 +66,7 @@ def op8_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id bigint, turn bigint, role string, text string")
-    log = rows.unionByName(control).select(
-        "conv_id", F.col("turn").alias("seq"), F.monotonically_increasing_id().alias("message"), F.lit("message").alias("kind"), "role", "text"
-    )
-    back = chat.read_back(chat.format_chats(log))
+    back = chat.read_back(chat.format_chats(chat.streamed(rows.unionByName(control))))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("losses", "")
     return back.select(
