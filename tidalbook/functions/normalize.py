@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,20 +23,28 @@ def register_normalizer(kind: str, fn: Normalizer) -> None:
 
 
 def _text(path: str) -> Column:
-    return F.get_json_object("body", f"$.{path}")
+    """A field of the parsed body; names differ by case, so it is a map and no struct."""
+    first, _, rest = path.partition(".")
+    found = F.try_element_at("fields", F.lit(first))
+    return F.try_element_at(F.from_json(found, "map<string,string>"), F.lit(rest)) if rest else found
 
 
 def _double(path: str) -> Column:
-    return F.expr(f"try_cast(get_json_object(body, '$.{path}') as double)")
+    return _text(path).try_cast("double")
 
 
 def _ms(path: str) -> Column:
-    return F.timestamp_millis(F.expr(f"try_cast(get_json_object(body, '$.{path}') as bigint)"))
+    return F.timestamp_millis(_text(path).try_cast("bigint"))
 
 
 def open_envelope(messages: DataFrame) -> DataFrame:
-    """Add body (the ``data`` part or the whole), stream, and kind (canonical, null if unknown)."""
-    out = messages.withColumn("body", F.coalesce(F.get_json_object("payload", "$.data"), F.col("payload"))).withColumn("stream", F.get_json_object("payload", "$.stream"))
+    """Add body (the ``data`` part or the whole), its fields, stream, and kind (canonical, null if unknown).
+
+    What is no JSON object has no fields. Message and body are parsed once each.
+    """
+    outer = messages.withColumn("fields", F.from_json("payload", "map<string,string>"))
+    out = outer.withColumns({"body": F.coalesce(F.try_element_at("fields", F.lit("data")), F.col("payload")), "stream": F.try_element_at("fields", F.lit("stream"))})
+    out = out.withColumn("fields", F.when(F.map_contains_key("fields", "data"), F.from_json("body", "map<string,string>")).otherwise(F.col("fields")))
     said = F.lower(F.coalesce(_text("e"), F.regexp_extract("stream", "@([A-Za-z]+)", 1)))
     kind = F.when(F.lit(False), F.lit(None).cast("string"))
     for canonical, names in EVENT_NAMES.items():
@@ -44,8 +52,8 @@ def open_envelope(messages: DataFrame) -> DataFrame:
     return out.withColumn("kind", kind)
 
 
-def trades(opened: DataFrame) -> DataFrame:
-    """Typed trades; the buyer as maker means that the taker sold."""
+def trades(opened: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed trades, with the columns ``keep``; the buyer as maker means that the taker sold."""
     maker = F.lower(_text("m"))
     return opened.where("kind = 'trade'").select(
         F.upper(F.trim(_text("s"))).alias("symbol"),
@@ -55,6 +63,7 @@ def trades(opened: DataFrame) -> DataFrame:
         F.coalesce(_text("a"), _text("t")).alias("trade_id"),
         F.when(maker == "true", "sell").when(maker == "false", "buy").alias("side"),
         F.lit(VERSION).alias("normalizer_version"),
+        *keep,
     )
 
 

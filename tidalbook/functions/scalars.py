@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Seconds of each interval unit.
@@ -74,22 +74,3 @@ def serving_status(found: Column, age_seconds: Column, max_age: float, flags: Co
 def reasons(rules: Sequence[tuple[Column, str]]) -> Column:
     """The names of the rules that hold, in order."""
     return F.array_compact(F.array(*[F.when(F.coalesce(rule, F.lit(False)), F.lit(name)) for rule, name in rules]))
-
-
-def validator_flags(value: Column, previous: Column, recent: dict[str, Column], policy: dict[str, float], name: str) -> Column:
-    """Flags of one feature value; ``recent`` holds the window columns that the policy needs."""
-    rules: list[tuple[Column, str]] = [(F.isnan(value) | (F.abs(value) == float("inf")), f"{name}:non_finite")]
-    if "min" in policy:
-        rules.append((value < policy["min"], f"{name}:below_min"))
-    if "max" in policy:
-        rules.append((value > policy["max"], f"{name}:above_max"))
-    if policy.get("non_zero"):
-        rules.append((value == 0, f"{name}:zero_not_allowed"))
-    if "max_abs_delta" in policy:
-        rules.append((F.abs(value - previous) > policy["max_abs_delta"], f"{name}:delta_exceeded"))
-    rules += [(rule, f"{name}:{label}") for label, rule in recent.items()]
-    return reasons(rules)
-
-
-def stamp_constant_columns(df: DataFrame, **values: str) -> DataFrame:
-    return df.withColumns({k: F.lit(v) for k, v in values.items()})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,27 +31,51 @@ def trade_reasons(now_ms: int) -> Column:
 
 
 def bar_reasons(now_ms: int) -> Column:
-    """Why a bar payload (open_ms, close_ms, open, high, low, close, volume) is refused."""
+    """Why a bar payload (open_ms, close_ms, open, high, low, close, volume) is refused.
+
+    Only close and volume must be there; the range is checked where open, high
+    and low all are.
+    """
+    whole = F.col("open").isNotNull() & F.col("high").isNotNull() & F.col("low").isNotNull()
     return reasons(
         [
-            *_absent("open_ms", "close_ms", "open", "high", "low", "close", "volume"),
+            *_absent("close", "volume"),
             _clock("open_ms", now_ms),
+            _clock("close_ms", now_ms),
             *[_number(n) for n in ("open", "high", "low", "close", "volume")],
-            (F.col("high") < F.greatest("open", "close", "low"), "high_not_highest"),
-            (F.col("low") > F.least("open", "close", "high"), "low_not_lowest"),
+            (whole & (F.col("high") < F.greatest("open", "close", "low")), "high_not_highest"),
+            (whole & (F.col("low") > F.least("open", "close", "high")), "low_not_lowest"),
             (F.col("close_ms") < F.col("open_ms"), "close_before_open"),
         ]
     )
 
 
 def book_reasons(now_ms: int) -> Column:
-    """Why a book payload (bid, bid_size, ask, ask_size) is refused."""
-    return reasons([*_absent("bid", "ask"), *[_number(n) for n in ("bid", "bid_size", "ask", "ask_size")], (F.col("ask") < F.col("bid"), "crossed")])
+    """Why a book payload (update_id, bid, bid_size, ask, ask_size, event_ms) is refused; the time may be absent."""
+    return reasons(
+        [
+            *_absent("update_id", "bid", "bid_size", "ask", "ask_size"),
+            _clock("event_ms", now_ms),
+            *[_number(n) for n in ("bid", "bid_size", "ask", "ask_size")],
+            (F.col("ask") < F.col("bid"), "crossed"),
+        ]
+    )
 
 
-def event_reasons() -> Column:
-    """Why a typed event is refused: processed before received, or a bar that closes before it opens."""
-    return reasons([(F.col("process_us") < F.col("receive_us"), "processed_before_received"), (F.col("close_us") < F.col("open_us"), "close_before_open")])
+def event_reasons(columns: Sequence[str]) -> Column:
+    """Why a typed event is refused, by those of the rules whose columns it has.
+
+    Processed before received; a bar that closes before it opens or has no
+    interval; numbers that are negative or not finite; a crossed book.
+    """
+    rules = [
+        (("process_us", "receive_us"), F.col("process_us") < F.col("receive_us"), "processed_before_received"),
+        (("open_us", "close_us"), F.col("close_us") < F.col("open_us"), "close_before_open"),
+        (("interval",), F.coalesce(F.col("interval"), F.lit("")) == "", "missing_interval"),
+        (("bid_price", "ask_price"), (F.col("bid_price") > 0) & (F.col("ask_price") > 0) & (F.col("ask_price") < F.col("bid_price")), "crossed"),
+        *[((n,), *_number(n)) for n in ("price", "size", "open", "high", "low", "close", "volume", "bid_price", "bid_size", "ask_price", "ask_size")],
+    ]
+    return reasons([(rule, name) for needs, rule, name in rules if set(needs) <= set(columns)])
 
 
 def split_valid(df: DataFrame, why: Column) -> tuple[DataFrame, DataFrame]:

@@ -58,10 +58,3 @@ def portfolio(filled: DataFrame, cash: float) -> tuple[DataFrame, DataFrame]:
 def decision_audit(features: DataFrame, proposed: DataFrame, by: list[str]) -> DataFrame:
     """Features and the signals that came of them, row by row."""
     return features.join(proposed, by, "left")
-
-
-def exposure(positions: DataFrame, prices: DataFrame) -> DataFrame:
-    """(symbol, position, value): positions at the last price."""
-    return positions.join(prices, "symbol", "left").select("symbol", "position", (F.col("position") * F.col("price")).alias("value"))
-
-

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalbook.functions import normalize, scalars, validators
-from tidalbook.operators import anomaly, asof, compare, dedup, gaps, quality
+from tidalbook.operators import anomaly, asof, compare, dedup, gaps, quality, recovery, reports
 from tidalbook.operators.scan import ARRIVALS, DAY_US
-from tidalbook.plans import features, trading
+from tidalbook.plans import features, trading, transformers
 from tidalbook.plans.definitions import FeatureSet, default_set, node
-from tidalbook.sources import feature_store, lake
+from tidalbook.sources import feature_store, instruments, lake, replay, runs
 from tidalbook.sources.events import market_events, micros, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -602,6 +602,121 @@ def interval_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "nation").select(k.cast("string").alias("text"), scalars.interval_seconds(text).alias("seconds"))
 
 
+@registered(f"{EV} SELECT symbol, arrival_seq AS raw_ingestion_seq, 'run' AS raw_run_id, epoch_us(event_ts) // 1000 AS exchange_ms, price, available_us AS process_us FROM ev WHERE event_us <= {AT}")
+def replay_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = market_events(spark, sf_dir).withColumnRenamed("arrival_seq", "event_id").join(_messages(spark, sf_dir), "event_id")
+    raw = ev.select("payload", F.col("event_ts").cast("timestamp").alias("exchange_ts"), F.col("available_ts").cast("timestamp").alias("receive_ts"), F.lit("run").alias("run_id"), F.col("event_id").alias("ingestion_seq"), "event_us")
+    wanted = replay.window(raw, end=F.timestamp_micros(F.lit(_middle(ev))))
+    return replay.replayed(wanted).select("symbol", "raw_ingestion_seq", "raw_run_id", F.unix_millis("exchange_ts").alias("exchange_ms"), "price", F.unix_micros("process_ts").alias("process_us"))
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return market_events(spark, sf_dir).withColumns({"run_id": F.concat(F.lit("run-"), "kind"), "entity_scope": F.col("symbol")})
+
+
+@registered(f"{EV} SELECT symbol, arrival_seq, price FROM ev WHERE kind = 'click' AND event_us <= {AT}")
+def reconstruct_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _vectors(spark, sf_dir)
+    return runs.reconstruct(vectors, "run-click", end_us=_middle(vectors)).select(*ID, "price")
+
+
+@registered(f"""{EV} SELECT 'run-' || kind AS run_id, count(*) AS row_count, min(event_us) AS min_event_us, max(event_us) AS max_event_us, substr(sha256('d|f|run-' || kind), 1, 32) AS bundle_id FROM ev GROUP BY kind""")
+def run_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run rows of each kind, registered twice; the later row stays."""
+    vectors, known = _vectors(spark, sf_dir), None
+    for order, part in ((1, vectors.where("price > 50")), (2, vectors)):
+        for kind in ("view", "signup", "click", "error", "purchase"):
+            row = runs.record(part.where(F.col("kind") == kind), f"run-{kind}", "d", "f").withColumn("registered_at", F.lit(order))
+            known = row if known is None else known.unionByName(row)
+    return runs.registered(None, known, "registered_at").where("row_count > 0").select("run_id", "row_count", "min_event_us", "max_event_us", "bundle_id")
+
+
+LOST = "(l_orderkey * 7 + l_linenumber) % 5"
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("cursor"), F.lit(0).cast("bigint").alias("event_us"), F.expr(LOST).alias("mod"))
+
+
+@registered(f"""WITH l AS (SELECT l_orderkey, l_linenumber, lag(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS prev FROM lineitem WHERE {LOST} <> 0)
+SELECT l_orderkey, CAST(prev + 1 AS BIGINT) AS first, CAST(l_linenumber - 1 AS BIGINT) AS last, CAST(l_linenumber AS BIGINT) AS boundary FROM l WHERE l_linenumber > prev + 1""")
+def gap_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recovery.requests(gaps.detect_gaps(_lines(spark, sf_dir).where("mod <> 0"), ["l_orderkey"], 1.0, ["cursor"]), ["l_orderkey"])
+
+
+@registered(f"""WITH l AS (SELECT l_orderkey, l_linenumber AS n, {LOST} AS m FROM lineitem), e AS (SELECT l_orderkey, min(n) AS low, max(n) AS high FROM l WHERE m <> 0 GROUP BY ALL)
+SELECT DISTINCT l_orderkey, CAST(n AS BIGINT) AS cursor, m = 0 AS recovered FROM l JOIN e USING (l_orderkey) WHERE n BETWEEN low AND high""")
+def gap_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _lines(spark, sf_dir)
+    kept = lines.where("mod <> 0")
+    wanted = recovery.requests(gaps.detect_gaps(kept, ["l_orderkey"], 1.0, ["cursor"]), ["l_orderkey"])
+    whole = recovery.merged(kept, recovery.asked_for(lines, wanted, ["l_orderkey"]), ["l_orderkey"])
+    return whole.select("l_orderkey", "cursor", (F.col("mod") == 0).alias("recovered"))
+
+
+@registered(f"""{EV} SELECT symbol, CAST(sum(CASE kind WHEN 'error' THEN 1 ELSE 0 END) AS BIGINT) AS gaps_total, CAST(count(*) AS BIGINT) AS messages_total, max(available_us - event_us) AS lag_max, count(*) FILTER (WHERE kind = 'error') > 0 AS degraded FROM ev GROUP BY symbol""")
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = market_events(spark, sf_dir).select("symbol", F.when(F.col("kind") == "error", 1).alias("gaps_total"), F.lit(1).alias("messages_total"), (F.col("available_us") - F.col("event_us")).alias("lag_max"))
+    return reports.merge_stream_metrics(rows, ["symbol"], ["gaps_total", "messages_total"], ["lag_max"])
+
+
+SEVERITY = "CASE kind WHEN 'error' THEN 'critical' WHEN 'signup' THEN 'high' WHEN 'click' THEN 'medium' END"
+
+
+@registered(f"""{EV}, r AS (SELECT price > 5 AS ok, {SEVERITY} AS severity FROM ev)
+SELECT count(*) AS total_reports, count(*) FILTER (WHERE NOT ok) AS failed_reports, count(*) FILTER (WHERE NOT ok AND severity = 'critical') AS critical_failures, count(*) FILTER (WHERE NOT ok AND severity = 'high') AS high_failures,
+  count(*) FILTER (WHERE NOT ok AND severity = 'medium') AS medium_failures, count(*) FILTER (WHERE NOT ok) <= 10 AND count(*) FILTER (WHERE NOT ok AND severity = 'critical') <= 3 AS pass_ok FROM r""")
+def shadow_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.shadow_summary(market_events(spark, sf_dir).selectExpr("price > 5 AS pass_ok", f"{SEVERITY} AS severity"), 10, 3)
+
+
+@registered("""SELECT count(*) AS total_requests, count(*) FILTER (WHERE o_orderstatus = 'O') AS ok_count, count(*) FILTER (WHERE o_orderstatus = 'F') AS degrade_count, 0 AS fail_count, count(*) FILTER (WHERE o_orderstatus NOT IN ('O', 'F')) AS unknown_count, max(o_totalprice) AS max_seconds, false AS pass_ok FROM orders""")
+def probe_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.probe_summary(read_table(spark, sf_dir, "orders").selectExpr("CASE o_orderstatus WHEN 'O' THEN 'ok' WHEN 'F' THEN 'degrade' ELSE 'odd' END AS status", "o_totalprice AS seconds"))
+
+
+@registered(f"""{EV}, p AS (SELECT symbol, count(*) AS n, arg_min(kind, (event_us, arrival_seq)) AS fr, min_by(arrival_seq, (event_us, arrival_seq)) AS fs, arg_max(kind, (event_us, arrival_seq)) AS lr, max_by(arrival_seq, (event_us, arrival_seq)) AS ls FROM ev GROUP BY symbol)
+SELECT symbol, n AS row_count, substr(sha256(concat_ws('|', symbol, n, fr, fs, lr, ls)), 1, 16) AS dataset_version, substr(sha256(concat_ws('|', symbol, fr, fs, lr, ls)), 1, 16) AS lineage_id FROM p""")
+def dataset_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.dataset_versions(market_events(spark, sf_dir), ["symbol"], ["event_us", "arrival_seq"], "kind", "arrival_seq")
+
+
+@registered("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'fail' WHEN o_orderkey % 7 = 0 THEN 'degrade' WHEN o_orderkey % 5 = 0 THEN 'fail' ELSE 'ok' END AS status, CASE WHEN o_orderstatus = 'P' THEN 'point_in_time_missing' WHEN o_orderkey % 7 = 0 THEN 'quality_flags' WHEN o_orderkey % 5 = 0 THEN 'contract_validation' END AS reason FROM orders""")
+def pit_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = F.when(F.col("o_orderkey") % 7 == 0, F.array(F.lit("stale"))).otherwise(F.array().cast("array<string>"))
+    status, reason = reports.point_in_time_status(F.col("o_orderstatus") != "P", flags, F.col("o_orderkey") % 5 != 0, "paper")
+    return read_table(spark, sf_dir, "orders").select("o_orderkey", status.alias("status"), reason.alias("reason"))
+
+
+@registered("""SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderkey % 11 > 8 THEN 'parity_mismatch' END, CASE WHEN o_orderkey % 3 > 0 THEN 'stale_features_detected' END, CASE WHEN o_orderkey % 4 > 2 THEN 'latency_slo_breached' END) AS reasons, o_orderkey > 0 AND o_orderkey % 10 = 0 AS alert FROM orders""")
+def release_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, none = F.col("o_orderkey"), F.lit(0)
+    why = reports.gate_reasons(k % 11, k % 3, F.when(k % 4 > 2, 1), none, none, 8)
+    return read_table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(why, ",").alias("reasons"), reports.alerts(k, 10).alias("alert"))
+
+
+@registered(f"{EV} SELECT symbol, CAST((max(event_us) - min(event_us)) // 3600000000 + 1 AS BIGINT) AS bars FROM ev GROUP BY symbol")
+def expected_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    span = market_events(spark, sf_dir).groupBy("symbol").agg(F.min("event_us").alias("low"), F.max("event_us").alias("high"))
+    return span.select("symbol", reports.expected_bars(F.col("low"), F.col("high"), 3_600_000_000).alias("bars"))
+
+
+@registered("SELECT s_suppkey, CAST(s_nationkey AS VARCHAR) AS symbol, n_name AS base FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def instrument_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = read_table(spark, sf_dir, "nation").select(F.struct(F.col("n_nationkey").cast("string").alias("symbol"), F.lit("TRADING").alias("status"), F.col("n_name").alias("baseAsset"), F.lit("USDT").alias("quoteAsset")).alias("one"))
+    listing = each.agg(F.to_json(F.struct(F.collect_list("one").alias("symbols"))).alias("payload"))  # one exchange's listing, a document of its own
+    events = read_table(spark, sf_dir, "supplier").select("s_suppkey", F.lit("spot ").alias("venue"), F.col("s_nationkey").cast("string").alias("symbol"))
+    return instruments.stamped(events, instruments.flattened(listing, "Spot"), ["base"]).select("s_suppkey", "symbol", "base")
+
+
+@registered(f"{EV} SELECT symbol, arrival_seq, price * 2 AS price, CAST(1 AS BIGINT) AS n FROM ev")
+def transformed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = F.create_map(F.lit("price"), F.col("price"), F.lit("window_max"), F.col("price"), F.lit("broken"), F.lit(float("nan")))
+    vectors = market_events(spark, sf_dir).select(*ID, values.alias("values"))
+    back = transformers.from_json(transformers.as_json(transformers.transformed(vectors, ["clip_non_finite", "scale_price_2x", "drop_window_max"])).select("payload"), "symbol string, arrival_seq bigint, values map<string,double>")
+    return back.select(*ID, F.col("values")["price"].alias("price"), F.size("values").cast("bigint").alias("n"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -23,26 +23,32 @@ class FeatureStore:
     """A store in a folder: versions of the vector table, swapped by writing a new one."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path, self.version = spark, path.rstrip("/"), 0
+        self.spark, self.path = spark, path.rstrip("/")
+
+    @property
+    def version(self) -> int:
+        """The last version in the folder that was written to its end; 0 if there is none."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        return max((int(f.getPath().getParent().getName()[1:]) for f in found or ()), default=0)
 
     def _at(self, version: int) -> str:
         return f"{self.path}/v{version}"
 
     def vectors(self) -> DataFrame | None:
-        return self.spark.read.parquet(self._at(self.version)) if self.version else None
+        at = self.version
+        return self.spark.read.parquet(self._at(at)) if at else None
 
     def put(self, new: DataFrame) -> None:
         """Upsert vectors by their key."""
-        merged = upserted(self.vectors(), new)
-        merged.write.mode("overwrite").parquet(self._at(self.version + 1))
-        self.version += 1
+        at = self.version
+        upserted(self.vectors(), new).write.mode("overwrite").parquet(self._at(at + 1))
 
     def prune(self, now_us: int, ttl_us: int, keep: int) -> None:
         """Apply retention to the history of each scope and set."""
         rows = self.vectors()
         if rows is not None:
             retained(rows, ["entity_scope", "feature_set_name", "feature_set_version"], now_us, ttl_us, keep).write.mode("overwrite").parquet(self._at(self.version + 1))
-            self.version += 1
 
     def latest(self) -> DataFrame | None:
         """The last upserted vector of each scope and set."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidalbook.operators.dedup import keep_first
+from tidalbook.operators.scan import fresh
 
 PARTITIONS = ("env", "venue", "symbol", "date")
 #: Order of rows in a file.
@@ -73,6 +74,17 @@ def compact(spark: SparkSession, path: str, target: str, only: Column | None = N
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(target)
 
 
+def compact_in_place(spark: SparkSession, path: str, only: Column | None = None, dedup_key: Sequence[str] = (), files: int = 1) -> None:
+    """Replace the segments of partitions by few sorted files.
+
+    The rows are first written whole to a folder beside the dataset and read
+    from there, so a run that ends early leaves either the old or the new files.
+    """
+    staged = f"{path.rstrip('/')}.compacting"
+    compact(spark, path, staged, only, dedup_key, files)
+    spark.read.parquet(staged).sortWithinPartitions(*PARTITIONS, "event_us", "arrival_seq").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
+
+
 def query(rows: DataFrame, symbol: str | None = None, venue: str | None = None, start_us: int | None = None, end_us: int | None = None, time: str = "event_us", limit: int | None = None) -> DataFrame:
     """Historical rows: equal symbol and venue, time in the range with both ends; rows without a time pass."""
     out = rows
@@ -104,10 +116,14 @@ RAW_SCHEMA = "payload string, venue string, stream_type string, symbol string, e
 
 
 def read_raw(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(good rows, broken lines) of landed JSON lines."""
-    schema = T.StructType.fromDDL(RAW_SCHEMA).add("_broken", T.StringType())
-    rows = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").json(path)
-    return rows.where("_broken is null").drop("_broken"), rows.where("_broken is not null").select("_broken")
+    """(good rows, broken lines) of landed JSON lines; blank lines are neither. Partition columns in the path stay."""
+    (broken,) = fresh(T.StructType.fromDDL(RAW_SCHEMA).names, "broken")
+    schema = T.StructType.fromDDL(RAW_SCHEMA).add(broken, T.StringType())
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    rows = lines.withColumn("row", F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}))
+    whole = F.col(f"row.{broken}").isNull() & F.col("row").isNotNull()
+    extra = [c for c in lines.columns if c != "value" and c not in schema.names]
+    return rows.where(whole).select("row.*", *extra).drop(broken), rows.where(~whole).select(F.col("value").alias("_broken"))
 
 
 def replay_order(raw: DataFrame) -> DataFrame:

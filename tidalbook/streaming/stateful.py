@@ -9,11 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+#: Before any time.
+NEVER = -(2**62)
+
 Update = Callable[[tuple[Any, ...], Iterable[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
 
 
@@ -24,19 +28,32 @@ def _in_order(frames: Iterable[pd.DataFrame], order: str) -> pd.DataFrame:
 def stream_dedup(events: DataFrame, key: str, time: str = "event_us", ttl_us: int = 300_000_000, order: str = "arrival_seq") -> DataFrame:
     """Rows whose key was not seen within the time to live; each sighting, kept or not, renews it.
 
-    The state of a key is one number.
+    The state of a key is one number. With a watermark on ``events`` it goes
+    once the watermark is past the last sighting and the time to live; without
+    one it stays. Rows without a time are kept and renew nothing.
     """
+    expires = events.isStreaming and "watermark" in events._jdf.queryExecution().analyzed().toString().lower()
 
     def update(_: tuple[Any, ...], frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = state.get[0] if state.exists else None
-        rows, keep = _in_order(frames, order), []
-        for at in rows[time]:
-            keep.append(seen is None or at - seen > ttl_us)
-            seen = int(at) if seen is None else max(seen, int(at))
-        state.update((seen,))
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = _in_order(frames, order)
+        known = rows[time].notna().to_numpy()
+        at = rows.loc[known, time].to_numpy(dtype=np.int64)
+        first = state.get[0] if state.exists and state.get[0] is not None else NEVER
+        high = np.maximum.accumulate(np.append(first, at))
+        keep = ~known
+        keep[known] = (high[:-1] == NEVER) | (at - high[:-1] > ttl_us)
+        last = int(high[-1])
+        if last != NEVER:
+            state.update((last,))
+            if expires:
+                state.setTimeoutTimestamp(max((last + ttl_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         yield rows[keep]
 
-    return events.groupBy(key).applyInPandasWithState(update, events.schema, "seen bigint", "append", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.EventTimeTimeout if expires else GroupStateTimeout.NoTimeout
+    return events.groupBy(key).applyInPandasWithState(update, events.schema, "seen bigint", "append", timeout)
 
 
 def stream_late(events: DataFrame, keys: list[str], time: str = "event_us", policy: str = "accept", order: str = "arrival_seq") -> DataFrame:
