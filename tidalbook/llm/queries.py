@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidalbook.llm import bpe, chat, decontam, html_extract, line_dedup, media, pii, simhash, toxicity, warc
+from tidalbook.llm import bpe, chat, decontam, html_extract, line_dedup, media, merkle, mixing, phrases, pii, simhash, toxicity, warc
 from tidalbook.llm._shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 CONTROL = "<|im_end|><|im_start|>assistant ok"
+#: Weights 5, 2 and 1 over the whole of training: the first fades, the second stays, the third comes in.
+CURRICULUM = (((0, 6), (1, 4)), ((0, 2), (1, 2)), ((0, 0), (1, 2)))
 
 
 def vocabulary() -> tuple[dict[bytes, int], str]:
@@ -84,6 +86,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"), CURRICULUM)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering adds 1 to n_chars where 7 divides the checksum of the id."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"), tampered)
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 OP2_SQL = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -140,6 +156,105 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 FROM escaped GROUP BY conv_id
 """
 
+OP11_SQL = r"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(text, '')) AS digest
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no FROM sizes GROUP BY source),
+weighted AS (SELECT *, source_no % 3 AS kind, [5, 2, 1][CAST(source_no % 3 + 1 AS INTEGER)] AS w FROM sources),
+filled AS (
+  SELECT *, sum(source_size) OVER () AS total,
+         coalesce(sum(3 * source_size) OVER (ORDER BY source_size / w, source_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(w) OVER (ORDER BY source_size / w, source_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w
+  FROM weighted),
+levelled AS (
+  SELECT *, (CAST(total AS DOUBLE) - CAST(coalesce(sum(3 * source_size) FILTER (WHERE 3 * source_size * open_w <= w * (total - before)) OVER (), 0) AS DOUBLE))
+            / CAST(sum(w) FILTER (WHERE 3 * source_size * open_w > w * (total - before)) OVER () AS DOUBLE) AS level
+  FROM filled),
+targets AS (
+  SELECT *, coalesce(least(w * level, CAST(3 * source_size AS DOUBLE)), CAST(3 * source_size AS DOUBLE)) AS target FROM levelled),
+placed AS (
+  SELECT doc_id, size, source_size, target, kind, CAST(floor(target + 0.5) AS BIGINT) AS quota,
+         CAST(sum(size) OVER (PARTITION BY sizes.source ORDER BY digest ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS start
+  FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source),
+shares AS (SELECT *, CASE WHEN size > 0 AND start < quota THEN CAST(start AS DOUBLE) / CAST(quota AS DOUBLE) END AS share FROM placed)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN source_size = 0 THEN 0 ELSE CAST((quota // source_size) * size + greatest(least(quota % source_size - start, size), 0) AS BIGINT) END AS taken,
+       CASE WHEN share IS NULL THEN NULL WHEN share = 0 THEN 0.0
+            WHEN kind = 0 THEN least(2 * (share * 5) / (6 + sqrt(36 - 4 * (share * 5))), 1)
+            WHEN kind = 1 THEN least(2 * (share * 2) / (2 + sqrt(4 + 0 * (share * 2))), 1)
+            ELSE least(2 * share / (0 + sqrt(0 + 4 * share)), 1) END AS position
+FROM shares
+"""
+
+OP12_SQL = r"""
+WITH RECURSIVE told AS (
+  SELECT doc_id, lang, n_chars,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS body,
+         xor(list_reduce([4294967295] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+           lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) AS crc
+  FROM documents),
+rows_ AS (
+  SELECT *, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || body) AS leaf,
+         CASE WHEN crc % 7 = 0 THEN sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || body) END AS tampered
+  FROM told),
+leaves AS (
+  SELECT doc_id, lang, leaf, coalesce(tampered, leaf) AS other, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM rows_),
+nodes AS (
+  SELECT lang, 0 AS level, n, idx, leaf AS digest FROM leaves
+  UNION ALL SELECT lang, level + 1, (n + 1) // 2, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY lang, level, n, idx // 2),
+subroots AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, n, idx, subroot AS digest FROM subroots
+  UNION ALL SELECT level + 1, (n + 1) // 2, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM upper WHERE n > 1 GROUP BY level, n, idx // 2),
+top AS (SELECT digest AS root FROM upper WHERE n = 1),
+low_fold AS (
+  SELECT lang, idx AS leaf_no, 0 AS level, n, idx, other AS cur, '' AS proof FROM leaves
+  UNION ALL SELECT f.lang, leaf_no, f.level + 1, (f.n + 1) // 2, f.idx // 2,
+    sha256(CASE WHEN f.idx % 2 = 1 THEN coalesce(s.digest, '') || cur ELSE cur || coalesce(s.digest, '') END), proof || coalesce(s.digest, '')
+  FROM low_fold f LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM f.lang AND s.level = f.level AND s.idx = xor(f.idx, 1) WHERE f.n > 1),
+high_fold AS (
+  SELECT f.lang, leaf_no, 0 AS level, s.n, s.idx, cur, proof FROM low_fold f JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.n = 1
+  UNION ALL SELECT f.lang, leaf_no, f.level + 1, (f.n + 1) // 2, f.idx // 2,
+    sha256(CASE WHEN f.idx % 2 = 1 THEN coalesce(s.digest, '') || cur ELSE cur || coalesce(s.digest, '') END), proof || coalesce(s.digest, '')
+  FROM high_fold f LEFT JOIN upper s ON s.level = f.level AND s.idx = xor(f.idx, 1) WHERE f.n > 1)
+SELECT l.doc_id, l.leaf, subroot, (SELECT root FROM top) AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = (SELECT root FROM top) AS verified
+FROM leaves l JOIN high_fold h ON h.lang IS NOT DISTINCT FROM l.lang AND h.leaf_no = l.idx AND h.n = 1
+JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+"""
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, row_number() OVER () AS piece_no, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT lang, piece_no, unnest(w) AS w1, generate_subscripts(w, 1) AS pos FROM split),
+runs AS (SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM words WINDOW p AS (PARTITION BY piece_no ORDER BY pos)),
+grams AS (
+  SELECT lang, 1 AS k, w1 AS phrase FROM runs
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL),
+f AS (SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, k, phrase),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, w, f AS a FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, a, cut, l.f AS l, r.f AS r, 1000000 * CAST(a AS HUGEINT) * a // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1 : ], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(w[s : s + 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest([1, 2]) AS s FROM candidates WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def queries() -> dict[str, Query]:
     own = (
@@ -153,9 +268,19 @@ def queries() -> dict[str, Query]:
         op8_warc_packages,
         op9_chat_format,
         op10_simhash,
+        op11_mix_sources,
+        op12_merkle_manifest,
+        op13_phrase_mining,
     )
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op8_warc_packages": OP8_SQL, "op9_chat_format": OP9_SQL}
+    return {
+        "op2_decontamination": OP2_SQL,
+        "op8_warc_packages": OP8_SQL,
+        "op9_chat_format": OP9_SQL,
+        "op11_mix_sources": OP11_SQL,
+        "op12_merkle_manifest": OP12_SQL,
+        "op13_phrase_mining": OP13_SQL,
+    }
