@@ -12,7 +12,8 @@ from tidalbook.operators import anomaly, asof, compare, dedup, gaps, quality, re
 from tidalbook.operators.scan import ARRIVALS, DAY_US
 from tidalbook.plans import features, trading, transformers
 from tidalbook.plans.definitions import FeatureSet, default_set, node
-from tidalbook.sources import feature_store, instruments, lake, replay, runs
+from tidalbook.session import scratch_path
+from tidalbook.sources import feature_store, instruments, lake, replay, runs, snapshots
 from tidalbook.sources.events import market_events, micros, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -717,6 +718,17 @@ def transformed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*ID, F.col("values")["price"].alias("price"), F.size("values").cast("bigint").alias("n"))
 
 
+@registered(f"{EV} SELECT symbol, arrival_seq, kind, price FROM ev")
+def lake_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, appended twice as a lake of snapshots by kind, compacted to the first of each arrival number and read back."""
+    lake_of = snapshots.SnapshotTable(spark, scratch_path(spark, "lake"), ["kind"], ["arrival_seq"])
+    events = market_events(spark, sf_dir).select(*ID, "kind", "price")
+    for _ in range(2):
+        lake_of.append(events, files=4)
+    lake_of.compact(dedup_key=["arrival_seq"], files=2)
+    return lake_of.read()
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -7,6 +7,7 @@ systems.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,12 +78,20 @@ def compact(spark: SparkSession, path: str, target: str, only: Column | None = N
 def compact_in_place(spark: SparkSession, path: str, only: Column | None = None, dedup_key: Sequence[str] = (), files: int = 1) -> None:
     """Replace the segments of partitions by few sorted files.
 
-    The rows are first written whole to a folder beside the dataset and read
-    from there, so a run that ends early leaves either the old or the new files.
+    The rows are first written whole to a new folder beside the dataset, and
+    what is replaced is the partitions that this folder holds, no others. Spark
+    replaces partition by partition, so a reader may meet one that is being
+    replaced and rows written meanwhile into it are lost: where others read or
+    write at the same time, use ``snapshots.SnapshotTable``. A run that ends
+    early leaves the folder, which holds all rows of its partitions.
     """
-    staged = f"{path.rstrip('/')}.compacting"
+    staged = f"{path.rstrip('/')}.compacting-{uuid.uuid4().hex}"
     compact(spark, path, staged, only, dedup_key, files)
-    spark.read.parquet(staged).sortWithinPartitions(*PARTITIONS, "event_us", "arrival_seq").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
+    rows = spark.read.schema(spark.read.parquet(path).schema).parquet(staged)
+    ordered = rows.sortWithinPartitions(*PARTITIONS, *[c for c in FILE_ORDER if c in rows.columns and c not in PARTITIONS])
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def query(rows: DataFrame, symbol: str | None = None, venue: str | None = None, start_us: int | None = None, end_us: int | None = None, time: str = "event_us", limit: int | None = None) -> DataFrame:
