@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidalbook.functions import normalize, scalars, validators
+from tidalbook.functions import normalize, scalars, shapes, validators
 from tidalbook.operators import anomaly, asof, compare, dedup, gaps, quality, recovery, reports
 from tidalbook.operators.scan import ARRIVALS, DAY_US
-from tidalbook.plans import features, trading, transformers
+from tidalbook.plans import features, recompute, trading, transformers
 from tidalbook.plans.definitions import FeatureSet, default_set, node
 from tidalbook.session import scratch_path
 from tidalbook.sources import feature_store, instruments, lake, replay, runs, snapshots
@@ -718,6 +718,13 @@ def transformed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*ID, F.col("values")["price"].alias("price"), F.size("values").cast("bigint").alias("n"))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A table of its own, as an earlier run has left it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @registered(f"{EV} SELECT symbol, arrival_seq, kind, price FROM ev")
 def lake_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events, appended twice as a lake of snapshots by kind, compacted to the first of each arrival number and read back."""
@@ -729,6 +736,32 @@ def lake_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_of.read()
 
 
+@registered("""SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'k.c' ELSE '' END AS mismatched, CASE WHEN event_id % 11 = 0 THEN 'k.new,k.new.at' ELSE '' END AS unexpected, event_id % 7 = 0 OR event_id % 11 = 0 AS drifted FROM events""")
+def schema_drift_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bar messages of all events: some with the close as a number, some with an object more, half with their keys turned round."""
+    n, value = F.col("event_id"), F.col("value").cast("string")
+    close = F.when(n % 7 == 0, F.concat(F.lit('"c":'), F.col("event_id").cast("string"), F.lit(".5"))).otherwise(F.concat(F.lit('"c":"'), value, F.lit('"')))
+    more = F.when(n % 11 == 0, ',"new":{"at":1}').otherwise("")
+    rest = F.concat(*[F.concat(F.lit(f',"{k}":"'), value, F.lit('"')) for k in "ohlq"])
+    times = F.concat(F.lit('"t":'), n.cast("string"), F.lit(',"T":'), n.cast("string"))
+    bar = F.when(n % 2 == 0, F.concat(F.lit("{"), times, F.lit(","), close, rest, more, F.lit("}"))).otherwise(F.concat(F.lit("{"), close, rest, more, F.lit(","), times, F.lit("}")))
+    head = F.concat(F.lit('"e":"kline","s":"u'), F.col("user_id").cast("string"), F.lit('","E":'), n.cast("string"))
+    body = F.when(n % 2 == 0, F.concat(F.lit("{"), head, F.lit(',"k":'), bar, F.lit("}"))).otherwise(F.concat(F.lit('{"k":'), bar, F.lit(","), head, F.lit("}")))
+    opened = normalize.open_envelope(read_table(spark, sf_dir, "events").select("event_id", body.alias("payload")))
+    found = shapes.nested_drift(opened)
+    return found.select("event_id", F.array_join("mismatched", ",").alias("mismatched"), F.array_join("unexpected", ",").alias("unexpected"), "drifted")
+
+
+@registered(f"""{EV} SELECT symbol, arrival_seq, {s6(RET)} AS ret_1, {s6(full('avg', 20))} AS sma_20, {s6(full('max', 5))} AS max_5 FROM ev""")
+def recompute_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the rows that came in time, then of those that came late: the same as of all rows at once."""
+    events = _stored(gaps.late_rows(market_events(spark, sf_dir), ["symbol"], "available_us", width=ARRIVALS), "events")
+    graph = FeatureSet("late", "v1", (node("ret_1", "return", "price"), node("sma_20", "rolling", "price", window=20, aggregator="sma"), node("max_5", "rolling", "price", window=5, aggregator="max")))
+    made = _stored(features.compute(events.where("not late"), graph), "features")
+    whole = recompute.recompute(made, events.where("late"), graph)
+    return _rounded(whole, "ret_1", "sma_20", "max_5")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
