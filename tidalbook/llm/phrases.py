@@ -39,6 +39,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ TOP = 2000
 COVERED = 50
 SHARES = 64
 #: Bytes of text that a task counts at once; a longer text is counted at once by itself.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Bits of the bitmap: 16 for each frequent phrase, within these bounds (128 KB to 16 MB).
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -88,7 +89,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tup
         yield pa.concat_arrays(langs), pa.concat_arrays(texts)
 
 
-def _words(langs: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], list[bytes]]:
+def _words(langs: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]:
     """(word numbers, whether a word goes on the piece of the one before, language of each number, word of each number)."""
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
@@ -112,13 +113,21 @@ def _words(langs: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, li
     lang = coded.indices.to_numpy()[doc].astype(np.int64) if len(start) else np.zeros(0, np.int64)
     size = len(words.dictionary)
     each, number = np.unique(lang * size + words.indices.to_numpy().astype(np.int64), return_inverse=True)
-    names, spelled = coded.dictionary.to_pylist(), words.dictionary.to_pylist()
-    return number, on, [names[k // size] for k in each], [spelled[k % size] for k in each]
-
-
-def _hashes(langs: list[str], words: list[bytes]) -> np.ndarray:
-    seeds = {name: xxhash.xxh3_64_intdigest(name.encode()) for name in set(langs)}
-    return np.array([xxhash.xxh3_64_intdigest(w, seeds[n]) for n, w in zip(langs, words, strict=True)], np.uint64)
+    return number, on, coded.dictionary.take(pa.array(each // max(size, 1))), words.dictionary.take(pa.array(each % max(size, 1)))
+
+
+def _hashes(langs: pa.Array, words: pa.Array) -> np.ndarray:
+    """Hashes of words of a language: the bytes as a polynomial, then mixed."""
+    if len(words) == 0:
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]].astype(np.uint64) + np.uint64(1)
+    start, length = ends[:-1] - ends[0], np.diff(ends)
+    power = np.multiply.accumulate(np.full(int(length.max()), np.uint64(0x100000001B3)))
+    sums = np.add.reduceat(data * power[np.arange(len(data)) - np.repeat(start, length)], start)
+    coded = langs.dictionary_encode()
+    seeds = np.array([xxhash.xxh3_64_intdigest(name.encode()) for name in coded.dictionary.to_pylist()], np.uint64)[coded.indices.to_numpy()]
+    return _joined(sums, seeds)
 
 
 def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -137,6 +146,7 @@ def _counter(length: int, told: Callable[[], list[bytes]], block_bytes: int) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmaps = [np.frombuffer(b, np.uint8) for b in told()]
+        space = pa.scalar(b" ", pa.large_binary())
         for langs, texts in _blocks(batches, block_bytes):
             number, on, of_lang, words = _words(langs, texts)
             hashed = _hashes(of_lang, words)
@@ -149,15 +159,14 @@ def _counter(length: int, told: Callable[[], list[bytes]], block_bytes: int) ->
                 at = at[fine[number[at]] & fine[number[at + 1]]]
                 each, of_each = np.unique(number[at] * len(hashed) + number[at + 1], return_inverse=True)
                 left, right = each // max(len(hashed), 1), each % max(len(hashed), 1)
-                last = [words[n] for n in tail[right]] if k > 2 else [words[n] for n in right]
-                phrases = [phrases[n] + b" " + w for n, w in zip(left, last, strict=True)]
-                tail = tail[right] if k > 2 else right
-                of_lang = [of_lang[n] for n in left]
+                tail = right if k == 2 else tail[right]
+                phrases = pc.binary_join_element_wise(phrases.take(pa.array(left)), words.take(pa.array(tail)), space)
+                of_lang = of_lang.take(pa.array(left))
                 hashed = _joined(hashed[left], hashed[right])
-                number = np.full(max(len(goes_on), 0), -1, np.int64)
+                number = np.full(len(goes_on), -1, np.int64)
                 number[at] = of_each
             n_each = np.bincount(number[number >= 0], minlength=len(phrases))
-            yield pa.record_batch([pa.array(of_lang, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(hashed.view(np.int64)), pa.array(n_each, pa.int64())], names=["lang", "phrase", "hash", "f"])
+            yield pa.record_batch([of_lang.cast(pa.string()), phrases.cast(pa.string()), pa.array(hashed.view(np.int64)), pa.array(n_each, pa.int64())], names=["lang", "phrase", "hash", "f"])
 
     return count
 
