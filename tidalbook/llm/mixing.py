@@ -44,7 +44,7 @@ from tidalbook.llm.ordering import checked, numbered
 Schedule = Sequence[tuple[float, float]]
 
 REPEATS = 3
-SLICE_ROWS = 1 << 16
+SLICE_ROWS = 1 << 12
 WORD = r"[^\x20\x09-\x0D]++"
 
 
