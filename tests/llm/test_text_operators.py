@@ -62,6 +62,32 @@ def test_html_layouts(layout):
     assert html_extract.main_text(page) == " ".join(PARAGRAPHS)
 
 
+BUILT = ["elementor-widget", "panel-widget", "form-text", "notice-text", "ad-free", "so-widget-sow-editor"]
+
+
+@pytest.mark.parametrize("name", BUILT)
+@pytest.mark.parametrize("around", ["{}", "<main>{}</main>", "<article>{}</article>", "<div><div>{}</div></div>", "<section id='page'>{}</section>"])
+def test_html_names_that_a_page_is_built_of(name, around):
+    for layout in ("".join(f'<div class="{name}"><p>{p}</p></div>' for p in PARAGRAPHS), f'<div class="{name}">' + "".join(f"<p>{p}</p>" for p in PARAGRAPHS) + "</div>"):
+        bare = f"<html><body>{around.format(layout)}</body></html>"
+        assert html_extract.main_text(bare) == " ".join(PARAGRAPHS)
+        assert html_extract.main_text(f"<html><body>{AROUND.format(around.format(layout))}</body></html>") == " ".join(PARAGRAPHS)
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div class='entry-content'>{}</div>", "<main>{}</main>"])
+def test_html_boxes_inside_and_after_an_article_go(around):
+    boxes = '<div class="author-bio"><p>Ann has written about harbours for years, and she lives by one.</p></div><div class="{}"><p>Subscribe to our letter, and you will never miss a ferry again.</p></div><div class="recommended"><p>Nine ferries that you should have seen by now, and why.</p></div>'
+    for name in ("callout", "call-out", "side-bar"):
+        page = around.format("".join(f"<p>{p}</p>" for p in PARAGRAPHS) + boxes.format(name)) + '<section id="discussion"><p>I do not believe a word of what this captain said about whales.</p></section>'
+        assert html_extract.main_text(page) == " ".join(PARAGRAPHS)
+
+
+def test_html_many_comments_are_no_article():
+    comments = "".join(f'<li class="comment-item"><p>Reader number {k} thinks that the captain made all of this up, and says so at length.</p></li>' for k in range(12))
+    page = f"<div class='text'>{''.join(f'<p>{p}</p>' for p in PARAGRAPHS)}</div><ol class='comment-list'>{comments}</ol>"
+    assert html_extract.main_text(page) == " ".join(PARAGRAPHS)
+
+
 def test_the_cut_decides_where_costs_alone_would_not():
     page = f"<div><p>{PARAGRAPHS[0]}</p><p>So</p><p>{PARAGRAPHS[1]}</p></div><div class='menu'><a href='/'>So</a></div>"
     found = html_extract.blocks(page)

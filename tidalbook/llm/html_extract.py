@@ -25,6 +25,7 @@ import re
 from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,8 +59,8 @@ SOFT = frozenset("fieldset form header label legend".split())
 CHROME = frozenset("aside button dialog fieldset footer form header input label legend menu nav option select textarea".split())
 CHROME_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 CHROME_NAMES = frozenset(
-    "ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment commentlist comments consent cookie cookies copyright disclaimer disqus footer form gdpr "
-    "header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo promoted promotion related reply replies "
+    "ad ads advert advertisement adverts alert author banner bio breadcrumb breadcrumbs callout comment commentlist comments consent cookie cookies copyright disclaimer discussion disqus footer form gdpr "
+    "header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo promoted promotion recommendation recommendations recommended related reply replies "
     "respond search share sharing sidebar sidenav signup social sponsor sponsored subscribe toolbar widget".split()
 )
 #: Words of a name that tells a state or a layout and not what the element is.
@@ -71,6 +72,8 @@ CONTENT_NAMES = frozenset("article body content entry main post story text".spli
 WHOLE_NAME, END_OF_NAME, IN_NAME, BESIDE_CONTENT_NAME = 1.0, 0.9, 0.5, 0.2
 #: Shares of a page's text from which an element counts as its article, as its wrapper, or as a form around it, and what is left of its say then.
 ARTICLE_SHARE, WRAPPER_SHARE, FORM_SHARE = 0.3, 0.6, 0.5
+#: Share of a page's text up to which what stands under no telling name is no article, and that from which the elements of one name are how the page is built.
+BARE_SHARE, BUILT_SHARE = 0.15, 0.4
 AROUND_ARTICLE, AROUND_TEXT, FORM_AROUND_TEXT = 0.1, 0.3, 0.2
 
 SMOOTH = 0.6
@@ -100,21 +103,26 @@ class _Element:
     is_content: bool
     content: bool
     named: bool
+    telling: tuple[str, ...] = ()  # class and id names that speak for boilerplate
     chars: int = 0  # of text that is no link, below it
     around_article: bool = False
 
 
-def _name_says(names: list[str]) -> tuple[float, bool]:
-    """(how much class and id names speak for boilerplate, whether one is a content name)."""
-    says, named = 0.0, False
+def _name_says(names: list[str]) -> tuple[float, bool, tuple[str, ...]]:
+    """(how much class and id names speak for boilerplate, whether one is a content name, the names that speak)."""
+    says, named, heard = 0.0, False, []
     for name in names:
         words = [w.lower() for w in NAME_WORD.findall(name)]
         telling = [w in CHROME_NAMES for w in words]
+        for k, pair in enumerate(a + b for a, b in pairwise(words)):  # call-out, side-bar
+            if pair in CHROME_NAMES:
+                telling[k] = telling[k + 1] = True
         if not any(telling):
             named = named or not CONTENT_NAMES.isdisjoint(words)
         elif STATE_NAMES.isdisjoint(words):
+            heard.append(name)
             says = max(says, WHOLE_NAME if all(telling) else END_OF_NAME if telling[0] or telling[-1] else IN_NAME)
-    return says * (BESIDE_CONTENT_NAME if named and says < WHOLE_NAME else 1.0), named
+    return says * (BESIDE_CONTENT_NAME if named and says < WHOLE_NAME else 1.0), named, tuple(heard)
 
 
 def _element(name: str, rest: str, number: int, parent: _Element | None) -> _Element:
@@ -128,11 +136,34 @@ def _element(name: str, rest: str, number: int, parent: _Element | None) -> _Ele
             role = value.strip().lower()
     body = name in ("html", "body")
     content = name in CONTENT or role in ("main", "article")
-    says, named = (0.0, False) if body else _name_says(names)
+    says, named, heard = (0.0, False, ()) if body else _name_says(names)
     hard = not content and not body and (name in CHROME - SOFT or role in CHROME_ROLES)
     chrome = 0.0 if body or content else 1.0 if hard or name in SOFT else says
     up = -1 if parent is None else parent.number
-    return _Element(name, number, up, chrome, not hard, content, content or bool(parent and parent.content), named or bool(parent and parent.named))
+    return _Element(name, number, up, chrome, not hard, content, content or bool(parent and parent.content), named or bool(parent and parent.named), heard)
+
+
+def _built_of(elements: list[_Element], total: int) -> set[str]:
+    """Names that most of the page's text stands under, if next to none stands under no telling element.
+
+    Chars of elements are with all below them; nested elements of one name count once.
+    """
+    if total <= 0:
+        return set()
+    below: list[bool] = []
+    bare, of_name = total, Counter()
+    under: list[frozenset[str]] = []
+    for e in elements:
+        inside = e.parent >= 0 and below[e.parent]
+        around = under[e.parent] if e.parent >= 0 else frozenset()
+        new = [name for name in e.telling if name not in around] if e.telling and e.chrome < WHOLE_NAME else []
+        under.append(around.union(new) if new else around)
+        for name in new:
+            of_name[name] += e.chars
+        if e.chrome >= IN_NAME and not inside:
+            bare -= e.chars
+        below.append(inside or e.chrome >= IN_NAME)
+    return {name for name, chars in of_name.items() if chars >= BUILT_SHARE * total} if bare <= BARE_SHARE * total else set()
 
 
 def _weigh(elements: list[_Element]) -> list[float]:
@@ -146,11 +177,12 @@ def _weigh(elements: list[_Element]) -> list[float]:
     for e in reversed(elements):
         if e.parent >= 0 and (e.around_article or (e.is_content and e.chars >= ARTICLE_SHARE * total > 0)):
             elements[e.parent].around_article = True
+    built = _built_of(elements, total)
     out: list[float] = []
     for e in elements:
         says = e.chrome
         if e.soft and says:
-            if e.around_article:
+            if e.around_article or (e.name not in SOFT and says < WHOLE_NAME and e.telling and built.issuperset(e.telling)):
                 says *= AROUND_ARTICLE
             elif e.name == "form" and e.chars >= FORM_SHARE * total > 0:
                 says *= FORM_AROUND_TEXT
