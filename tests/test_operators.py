@@ -152,7 +152,41 @@ def test_stream_dedup_within_a_time_to_live(spark, tmp_path):
     rows = [(k, key, (1_000 + at) * 1_000_000) for k, (key, at) in enumerate([("a", 0), ("a", 10), ("b", 11), ("a", 300), ("a", 700), (None, 1), (None, 2)])]
     df = spark.createDataFrame(rows, "arrival_seq bigint, id string, event_us bigint").withColumn("event_ts", F.timestamp_micros("event_us"))
     got = streamed(spark, tmp_path, df, 1, lambda s: stateful.stream_dedup(s.withWatermark("event_ts", "1 hour"), "id"))
-    assert sorted(r.arrival_seq for r in got.collect()) == [0, 2, 4, 5]
+    assert sorted(r.arrival_seq for r in got.collect()) == [0, 2, 4, 5, 6]
+
+
+def test_stream_dedup_forgets_behind_the_watermark(spark, tmp_path):
+    rows = [(0, "a", 1000), (1, "a", 1010), (2, "b", 2000), (3, "b", 2001), (4, "a", 3000), (5, "a", 3005), (6, None, 3006), (7, None, 3007)]
+    df = spark.createDataFrame([(n, key, at * 1_000_000, 5) for n, key, at in rows], "arrival_seq bigint, id string, event_us bigint, watermark_us bigint").withColumn("event_ts", F.timestamp_micros("event_us"))
+    turn = lambda k: f"arrival_seq div 2 = {k}"
+    got = streamed(spark, tmp_path / "marked", df, 4, lambda s: stateful.stream_dedup(s.withWatermark("event_ts", "10 seconds"), "id"), turn)
+    assert sorted(r.arrival_seq for r in got.collect()) == [0, 2, 4, 6, 7]
+    plain = streamed(spark, tmp_path / "plain", df, 4, lambda s: stateful.stream_dedup(s, "id"), turn)  # a column is no watermark
+    assert sorted(r.arrival_seq for r in plain.collect()) == [0, 2, 4, 6, 7]
+
+
+def test_ranges_by_counts(spark, monkeypatch):
+    """One day with most rows, and sparse numbers: ranges hold about as many rows each, and results are those of plain windows."""
+    hot = spark.range(3000).selectExpr("case when id < 2000 then 'A' when id < 2900 then 'B' end as symbol", "case when id % 5 = 0 then id * 86400000000 else 7 * 86400000000 + id end as event_us", "id as arrival_seq", "cast(id % 17 as double) as price")
+    sparse = hot.withColumn("arrival_seq", F.xxhash64("arrival_seq"))
+    monkeypatch.setattr(scan, "KEY_ROWS", 100)
+    for df, order in ((hot, ["event_us", "arrival_seq"]), (sparse, ["arrival_seq", "event_us"])):
+        bounds = scan.spread(df, ["symbol"], order)
+        assert 10 < len(bounds) <= 30
+        sizes = [r["count"] for r in df.groupBy("symbol", scan._range(F.col(order[0]), bounds).alias("range")).count().collect()]
+        assert max(sizes) <= 250 and len(sizes) <= 3 * (len(bounds) + 1)
+        values = {"total": ("sum", F.col("price"), True), "before": ("last", F.col("price"), False), "most": ("max", F.col("event_us"), False)}
+        assert rows_of(scan.carry(df, ["symbol"], order, values, scan.AUTO)) == rows_of(scan.carry(df, ["symbol"], order, values))
+    assert scan.spread(hot.limit(0), ["symbol"], ["event_us"]) is None
+    monkeypatch.setattr(scan, "KEY_ROWS", 1 << 20)
+    assert scan.spread(hot, ["symbol"], ["event_us"]) is None and scan.spread(hot, ["symbol"], ["event_us"], 5) == 5
+
+
+def test_names_that_clash_and_null_datasets(spark):
+    odd = some_events(spark).withColumns({"_high": F.lit(1), "time_before": F.lit(2), "_bar": F.lit(3), "_cursor": F.lit(4), "_n": F.lit(5)})
+    assert set(odd.columns) <= set(gaps.detect_gaps(odd, ["symbol"], 1.0).columns)
+    report = quality.quality_report(odd, ["symbol"], ["event_us"], "range", "chunk", "event_us", ["arrival_seq"])
+    assert sorted(str(r.symbol) for r in report.collect()) == ["A", "B", "None"]
 
 
 def test_stream_late_rows_and_features_equal_batch(spark, tmp_path):

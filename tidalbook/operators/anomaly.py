@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidalbook.operators.scan import last_before
+from tidalbook.operators.scan import AUTO, Width, last_before, spread
 
 TIERS = ("warn", "quarantine", "fail")
 # Thresholds of each feed, from warn to fail, for price jumps and volume spikes.
@@ -30,13 +30,13 @@ def _rank(ratio: Column, feed: Column, which: int) -> Column:
     return F.coalesce(out.otherwise(tiers(THRESHOLDS["trade"][which])), F.lit(0))
 
 
-def mark_anomalies(events: DataFrame, keys: Sequence[str], order: Sequence[str] = ("arrival_seq",), volume: str = "size", width: int | None = None) -> DataFrame:
+def mark_anomalies(events: DataFrame, keys: Sequence[str], order: Sequence[str] = ("arrival_seq",), volume: str = "size", width: Width = AUTO) -> DataFrame:
     """Add jump, jump_tier, spike, spike_tier and dominant to each row.
 
     Each row is compared with the row before of its key. Trades have no spike.
     dominant is the graver of the two, the jump if they are equal.
     """
-    out = last_before(events, keys, order, F.struct("price", F.col(volume).alias("volume")), "_before", width)
+    out = last_before(events, keys, order, F.struct("price", F.col(volume).alias("volume")), "_before", spread(events, keys, order, width))
     jump = F.when(F.col("_before.price") != 0, F.abs(F.col("price") - F.col("_before.price")) / F.abs("_before.price"))
     spike = F.when((F.lower("source") != "trade") & (F.col("_before.volume") != 0) & (F.col(volume) != 0), F.abs(F.col(volume)) / F.abs("_before.volume"))
     out = out.withColumns({"jump": jump, "spike": spike})

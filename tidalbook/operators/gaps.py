@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidalbook.operators.scan import carry, fresh, last_before, running
+from tidalbook.operators.scan import AUTO, Width, carry, fresh, last_before, spread
 
 #: The first cursor in milliseconds that can be a time: 2000-01-01.
 FIRST_MS = 946_684_800_000
 _NONE = "none"
 
 
-def detect_gaps(events: DataFrame, keys: Sequence[str], lag_seconds: float, order: Sequence[str] = ("arrival_seq",), cadence: Column | None = None, recovery: bool = False, width: int | None = None) -> DataFrame:
+def detect_gaps(events: DataFrame, keys: Sequence[str], lag_seconds: float, order: Sequence[str] = ("arrival_seq",), cadence: Column | None = None, recovery: bool = False, width: Width = AUTO) -> DataFrame:
     """Add mode, missing, gap_seconds, strong and irreparable to each row.
 
     Sequence: a numeric ``cursor`` (null where the feed has none) that leaves
@@ -22,24 +22,21 @@ def detect_gaps(events: DataFrame, keys: Sequence[str], lag_seconds: float, orde
     that is further on than cadence and lag; bars so placed get no weak check.
     Weak: the event time is more than the lag after the largest before.
     """
-    out = events
     has_bars = cadence is not None and "bar_cursor" in events.columns
-    if "cursor" in events.columns:
-        out = last_before(out, keys, order, F.col("cursor"), "_cursor", width)
-    else:
-        out = out.withColumns({"cursor": F.lit(None).cast("bigint"), "_cursor": F.lit(None).cast("bigint")})
-    placed = F.when(F.col("bar_cursor") >= FIRST_MS, F.col("bar_cursor")) if has_bars else F.lit(None).cast("bigint")
-    out = last_before(out.withColumn("_bar", placed), keys, order, F.col("_bar"), "_bar_before", width) if has_bars else out.withColumns({"_bar": placed, "_bar_before": placed})
-    out = running(out, keys, order, "max", F.col("event_us"), "_high", width, inclusive=False)
-    missing = F.col("cursor") - F.col("_cursor") - 1
+    cursor_before, bar, bar_before, high = fresh([*events.columns, "cursor", "mode"], "cursor_before", "bar", "bar_before", "time_before")
+    out = events if "cursor" in events.columns else events.withColumn("cursor", F.lit(None).cast("bigint"))
+    out = out.withColumn(bar, F.when(F.col("bar_cursor") >= FIRST_MS, F.col("bar_cursor")) if has_bars else F.lit(None).cast("bigint"))
+    before = {cursor_before: ("last", F.col("cursor"), False), bar_before: ("last", F.col(bar), False), high: ("max", F.col("event_us"), False)}
+    out = carry(out, keys, order, before, spread(events, keys, order, width))
+    missing = F.col("cursor") - F.col(cursor_before) - 1
     strong = F.coalesce(missing > 0, F.lit(False))
-    step = F.greatest((F.col("_bar") - F.col("_bar_before")) / 1000.0, F.lit(0.0))
+    step = F.greatest((F.col(bar) - F.col(bar_before)) / 1000.0, F.lit(0.0))
     every = cadence if cadence is not None else F.lit(None).cast("double")
     is_bar = step.isNotNull() & F.coalesce(every > 0, F.lit(False))
-    bar = F.coalesce(is_bar & (step > every + lag_seconds), F.lit(False))
-    gap = F.greatest((F.col("event_us") - F.col("_high")) / 1e6, F.lit(0.0))
+    far = F.coalesce(is_bar & (step > every + lag_seconds), F.lit(False))
+    gap = F.greatest((F.col("event_us") - F.col(high)) / 1e6, F.lit(0.0))
     weak = F.coalesce(gap > lag_seconds, F.lit(False))
-    mode = F.when(strong, "sequence_gap_detection").when(bar, "bar_cursor_gap_detection").when(is_bar, _NONE).when(weak, "weak_gap_detection").otherwise(_NONE)
+    mode = F.when(strong, "sequence_gap_detection").when(far, "bar_cursor_gap_detection").when(is_bar, _NONE).when(weak, "weak_gap_detection").otherwise(_NONE)
     out = out.withColumn("mode", mode)
     return out.withColumns(
         {
@@ -48,16 +45,20 @@ def detect_gaps(events: DataFrame, keys: Sequence[str], lag_seconds: float, orde
             "strong": F.col("mode").isin("sequence_gap_detection", "bar_cursor_gap_detection"),
             "irreparable": F.col("mode").isin("sequence_gap_detection", "bar_cursor_gap_detection") & F.lit(not recovery),
         }
-    ).drop("_cursor", "_bar", "_bar_before", "_high")
+    ).drop(cursor_before, bar, bar_before, high)
 
 
-def late_rows(events: DataFrame, keys: Sequence[str], time: str = "event_us", order: Sequence[str] = ("arrival_seq",), policy: str = "accept", width: int | None = None) -> DataFrame:
+def late_rows(events: DataFrame, keys: Sequence[str], time: str = "event_us", order: Sequence[str] = ("arrival_seq",), policy: str = "accept", width: Width = AUTO) -> DataFrame:
     """Add watermark_us, late and lateness_us against the largest time of earlier rows.
 
     policy: ``accept`` keeps late rows marked, ``drop`` leaves them out,
     ``fail`` raises at run time. The watermark closes nothing.
     """
-    out = running(events, keys, order, "max", F.col(time), "watermark_us", width, inclusive=False)
+    out = carry(events, keys, order, {"watermark_us": ("max", F.col(time), False)}, spread(events, keys, order, width))
+    return _late_marked(out, time, policy)
+
+
+def _late_marked(out: DataFrame, time: str, policy: str) -> DataFrame:
     late = F.coalesce(F.col(time) < F.col("watermark_us"), F.lit(False))
     out = out.withColumns({"late": late, "lateness_us": F.when(late, F.col("watermark_us") - F.col(time)).otherwise(0)})
     if policy == "drop":
@@ -69,16 +70,18 @@ def late_rows(events: DataFrame, keys: Sequence[str], time: str = "event_us", or
     return out
 
 
-def cumulative_lateness(events: DataFrame, keys: Sequence[str], order: Sequence[str] = ("arrival_seq",), width: int | None = None) -> DataFrame:
+def cumulative_lateness(events: DataFrame, keys: Sequence[str], order: Sequence[str] = ("arrival_seq",), width: Width = AUTO) -> DataFrame:
     """Running count of late rows, running largest lateness and running largest step in time per key."""
     (last,) = fresh([*events.columns, "watermark_us", "late", "lateness_us"], "time_before")
-    marked = last_before(late_rows(events, keys, order=order, width=width), keys, order, F.col("event_us"), last, width)
+    width = spread(events, keys, order, width)
+    before = {"watermark_us": ("max", F.col("event_us"), False), last: ("last", F.col("event_us"), False)}
+    marked = _late_marked(carry(events, keys, order, before, width), "event_us", "accept")
     step = F.greatest(F.col("event_us") - F.col(last), F.lit(0))
     sums = {"late_so_far": ("sum", F.col("late").cast("bigint"), True), "worst_so_far": ("max", F.col("lateness_us"), True), "longest_gap_us": ("max", step, True)}
     return carry(marked, keys, order, sums, width).drop(last)
 
 
-def watermark_reject(events: DataFrame, keys: Sequence[str], width: int | None = None) -> DataFrame:
+def watermark_reject(events: DataFrame, keys: Sequence[str], width: Width = AUTO) -> DataFrame:
     """Rows not available before an earlier accepted row of their key.
 
     An accepted row is a running maximum, so the largest of all earlier rows
@@ -89,16 +92,17 @@ def watermark_reject(events: DataFrame, keys: Sequence[str], width: int | None =
 
 def bar_gap_count(bars: DataFrame, keys: Sequence[str], interval_us: int, order: Sequence[str] = ("event_us", "arrival_seq")) -> DataFrame:
     """Per key the number of neighbouring bars further apart than the interval."""
-    before = F.lag("event_us").over(Window.partitionBy(*keys).orderBy(*order))
-    step = bars.withColumn("_step", F.col("event_us") - before)
-    return step.groupBy(*keys).agg(F.count_if(F.coalesce(F.col("_step") > interval_us, F.lit(False))).alias("gaps"))
+    (before,) = fresh(bars.columns, "bar_before")
+    rows = last_before(bars, keys, order, F.col("event_us"), before, spread(bars, keys, order))
+    return rows.groupBy(*keys).agg(F.count_if(F.coalesce(F.col("event_us") - F.col(before) > interval_us, F.lit(False))).alias("gaps"))
 
 
 def missing_dates(rows: DataFrame, keys: Sequence[str], day: Column) -> DataFrame:
     """(keys, day): days between a key's first and last that it has no row on."""
     days = rows.select(*keys, day.alias("day")).where("day is not null").distinct()
-    span = days.groupBy(*keys).agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
-    calendar = span.select(*keys, F.explode(F.sequence("_first", "_last", F.expr("interval 1 day"))).alias("day"))
+    first, last = fresh([*keys, "day"], "first_day", "last_day")
+    span = days.groupBy(*keys).agg(F.min("day").alias(first), F.max("day").alias(last))
+    calendar = span.select(*keys, F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("day"))
     return calendar.join(days, [*keys, "day"], "left_anti")
 
 

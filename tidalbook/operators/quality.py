@@ -7,28 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidalbook.operators.scan import fresh, last_before, positions
+from tidalbook.operators.scan import AUTO, Width, fresh, last_before, positions, spread
 
 HOT_DAYS, WARM_DAYS = 7, 30
 
 
-def quality_report(rows: DataFrame, dataset: Sequence[str], natural_key: Sequence[str], provider_ts: str, lineage: str, time_us: str, order: Sequence[str], width: int | None = None) -> DataFrame:
+def quality_report(rows: DataFrame, dataset: Sequence[str], natural_key: Sequence[str], provider_ts: str, lineage: str, time_us: str, order: Sequence[str], width: Width = AUTO) -> DataFrame:
     """Per dataset: counts of defects, a score from 0 to 100 and a status.
 
     duplicates: rows beyond the first of a natural key. out_of_order: rows
-    earlier than the last known time before them. score = 100 - 5 duplicates -
+    earlier than the last known time before them. A null dataset is a dataset. score = 100 - 5 duplicates -
     missing provider times - 3 missing lineages - 10 out of order, at least 0.
     """
     (before,) = fresh(rows.columns, "time_before")
-    marked = last_before(rows, dataset, order, F.col(time_us), before, width)
+    marked = last_before(rows, dataset, order, F.col(time_us), before, spread(rows, dataset, order, width))
     per_row = marked.groupBy(*dataset).agg(
         F.count("*").alias("rows"),
         F.count_if(F.col(provider_ts).isNull()).alias("missing_provider"),
         F.count_if(F.col(lineage).isNull()).alias("missing_lineage"),
         F.count_if(F.col(time_us) < F.col(before)).alias("out_of_order"),
     )
-    copies = rows.groupBy(*dataset, *natural_key).agg(F.count("*").alias("_n")).groupBy(*dataset).agg(F.sum(F.col("_n") - 1).alias("duplicates"))
-    out = per_row.join(copies, list(dataset))
+    n, *of = fresh([*dataset, *natural_key], "copies", *[f"of_{c}" for c in dataset])
+    copies = rows.groupBy(*dataset, *natural_key).agg(F.count("*").alias(n)).groupBy(*[F.col(c).alias(o) for c, o in zip(dataset, of, strict=True)]).agg(F.sum(F.col(n) - 1).alias("duplicates"))
+    out = per_row.join(copies, [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(dataset, of, strict=True)]).drop(*of)
     score = F.greatest(F.lit(0), 100 - 5 * F.col("duplicates") - F.col("missing_provider") - 3 * F.col("missing_lineage") - 10 * F.col("out_of_order"))
     errors = F.col("duplicates") + F.col("out_of_order") + F.col("missing_lineage")
     issues = errors + F.col("missing_provider")
@@ -54,10 +55,10 @@ def tier(days_old: Column) -> Column:
     return F.when(days_old <= HOT_DAYS, "hot").when(days_old <= WARM_DAYS, "warm").otherwise("cold")
 
 
-def downsample(rows: DataFrame, keys: Sequence[str], order: Sequence[str], every: int, width: int | None = None) -> DataFrame:
+def downsample(rows: DataFrame, keys: Sequence[str], order: Sequence[str], every: int, width: Width = AUTO) -> DataFrame:
     """Rows number 1, 1 + every, 1 + 2 every and so on of each key."""
     (at,) = fresh(rows.columns, "place")
-    return positions(rows, keys, order, at, width).where((F.col(at) - 1) % every == 0).drop(at)
+    return positions(rows, keys, order, at, spread(rows, keys, order, width)).where((F.col(at) - 1) % every == 0).drop(at)
 
 
 def nearest_rank(values: DataFrame, keys: Sequence[str], value: str, q: float) -> DataFrame:

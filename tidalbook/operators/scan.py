@@ -7,6 +7,12 @@ summaries of a key are scanned, and what comes before a range is joined back to
 its rows. The results are those of the plain window, as all functions offered
 are associative. A key with a third of all rows is spread over its ranges.
 
+Ranges cost a second reading of the rows and a join. ``spread`` looks whether
+that is needed: where no key has more than KEY_ROWS rows a plain window does,
+and otherwise the ranges are cut by counts, at quantiles of the order over all
+rows, so that neither a day with most rows nor sparse numbers make large or
+very many ranges.
+
 For frames of a bounded number of rows, ``in_chunks`` cuts a key into chunks of
 equally many rows and gives each chunk the last rows of the one before, so that
 a window inside a chunk sees all that its frame reaches.
@@ -25,11 +31,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Order = Sequence[str]
-DAY_US = 86_400_000_000
-#: Arrival numbers that a range takes in.
-ARRIVALS = 1 << 20
 #: Rows of a key that a chunk takes in, without those that it gets from the chunk before.
 CHUNK = 1 << 16
+#: Rows of the largest key up to which a plain window is used, and rows that a range of all keys takes in.
+KEY_ROWS = 1 << 20
+MOST_RANGES = 512
+#: Let ``spread`` choose.
+AUTO = "auto"
+#: A number: ranges of that width of the first order column. Numbers in order: the ranges' bounds. None: plain windows.
+Width = int | str | Sequence[float] | None
 #: name -> (sum, max, min, count or last, value, whether the row itself counts)
 Running = dict[str, tuple[str, Column, bool]]
 
@@ -54,13 +64,37 @@ def _joined_back(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFram
     return df.join(right, [F.col(f"`{k}`").eqNullSafe(F.col(f"`{o}`")) for k, o in zip(keys, own, strict=True)], "left").drop(*own)
 
 
-def carry(df: DataFrame, keys: Order, order: Order, values: Running, width: int | None = None) -> DataFrame:
+def spread(df: DataFrame, keys: Order, order: Order, width: Width = AUTO) -> Width:
+    """How to cut the keys of ``df``: ``width`` itself unless it is AUTO, which counts the rows of the keys.
+
+    What comes to the driver is one count, or MOST_RANGES bounds at most.
+    """
+    if width != AUTO:
+        return width
+    (n,) = fresh(df.columns, "rows_of_key")
+    row = df.groupBy(*keys).agg(F.count("*").alias(n)).agg(F.max(n).alias("most"), F.sum(n).alias("total")).first()
+    if (row["most"] or 0) <= KEY_ROWS:
+        return None
+    parts = min(MOST_RANGES, -(-row["total"] // KEY_ROWS))
+    bounds = df.agg(F.percentile_approx(order[0], [k / parts for k in range(1, parts)], 10 * MOST_RANGES)).first()[0]
+    return sorted(set(bounds or []))
+
+
+def _range(column: Column, width: Width) -> Column:
+    if isinstance(width, int | float):
+        return F.floor(column / F.lit(width))
+    bounds = F.array(*map(F.lit, width)) if width else F.array().cast("array<double>")
+    return F.when(column.isNotNull(), F.size(F.filter(bounds, lambda b: b < column)))
+
+
+def carry(df: DataFrame, keys: Order, order: Order, values: Running, width: Width = None) -> DataFrame:
     """Add a column for each of ``values``: what it comes to over the key's rows so far.
 
-    ``last`` is the last value that is not null. With ``width``, keys are cut
-    into ranges of that width of the first of ``order``, a number; without,
-    plain windows are used.
+    ``last`` is the last value that is not null. With a ``width`` (see Width),
+    keys are cut into ranges of the first of ``order``, a number; without, plain
+    windows are used.
     """
+    width = spread(df, keys, order, width)
     fold = lambda what, value: F.last(value, ignorenulls=True) if what == "last" else _FOLD[what](value)
     before = lambda by, own: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
     if width is None:
@@ -69,7 +103,7 @@ def carry(df: DataFrame, keys: Order, order: Order, values: Running, width: int
     cut, *extra = fresh([*df.columns, *names], "range", *[f"{kind}_{k}" for kind in ("value", "sum", "carried") for k in range(len(names))])
     given, sums, carried = (extra[k * len(names) : (k + 1) * len(names)] for k in range(3))
     by = [*keys, cut]
-    marked = df.withColumns({cut: F.floor(F.col(order[0]) / F.lit(width)), **{g: values[n][1] for g, n in zip(given, names, strict=True)}})
+    marked = df.withColumns({cut: _range(F.col(order[0]), width), **{g: values[n][1] for g, n in zip(given, names, strict=True)}})
     rows = marked.withColumns({n: fold(values[n][0], F.col(g)).over(before(by, values[n][2])) for g, n in zip(given, names, strict=True)})
     at = F.struct(*order)
     total = lambda what, g: F.max_by(g, F.when(F.col(g).isNotNull(), at)) if what == "last" else _FOLD[what](g)
@@ -88,17 +122,17 @@ def carry(df: DataFrame, keys: Order, order: Order, values: Running, width: int
     return out.withColumns({n: whole(values[n][0], n, c) for n, c in zip(names, carried, strict=True)}).drop(cut, *given, *carried)
 
 
-def last_before(df: DataFrame, keys: Order, order: Order, value: Column, name: str, width: int | None = None, inclusive: bool = False) -> DataFrame:
+def last_before(df: DataFrame, keys: Order, order: Order, value: Column, name: str, width: Width = None, inclusive: bool = False) -> DataFrame:
     """Add ``name``: the last non-null ``value`` of earlier rows of the key (and this one, if inclusive)."""
     return carry(df, keys, order, {name: ("last", value, inclusive)}, width)
 
 
-def running(df: DataFrame, keys: Order, order: Order, what: str, value: Column, name: str, width: int | None = None, inclusive: bool = True) -> DataFrame:
+def running(df: DataFrame, keys: Order, order: Order, what: str, value: Column, name: str, width: Width = None, inclusive: bool = True) -> DataFrame:
     """Add ``name``: running ``what`` (sum, max, min or count) of ``value`` over the key's rows so far."""
     return carry(df, keys, order, {name: (what, value, inclusive)}, width)
 
 
-def positions(df: DataFrame, keys: Order, order: Order, name: str, width: int | None = None) -> DataFrame:
+def positions(df: DataFrame, keys: Order, order: Order, name: str, width: Width = None) -> DataFrame:
     """Add ``name``: the row's number within its key, from 1."""
     return running(df, keys, order, "count", F.lit(1), name, width)
 

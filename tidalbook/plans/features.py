@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidalbook.operators.scan import CHUNK, DAY_US, Running, carry, fresh, in_chunks
+from tidalbook.operators.scan import AUTO, CHUNK, Running, Width, carry, fresh, in_chunks, spread
 from tidalbook.plans.definitions import FeatureSet, Node, stages
 
 HISTORY = 512
@@ -142,15 +142,16 @@ def _framed(rows: DataFrame, nodes: list[Node], keys: Sequence[str], order: Sequ
     return out.where(~F.col(lent)).drop(chunk, lent)
 
 
-def compute(events: DataFrame, feature_set: FeatureSet, order: Sequence[str] = ORDER, history: int = HISTORY, width: int | None = DAY_US, chunk_rows: int = CHUNK) -> DataFrame:
+def compute(events: DataFrame, feature_set: FeatureSet, order: Sequence[str] = ORDER, history: int = HISTORY, width: Width = AUTO, chunk_rows: int = CHUNK) -> DataFrame:
     """``events`` with a column for each feature; null where a feature is absent.
 
     Rows whose price is not finite are left out before any window. ``width``
-    is how much of the first of ``order`` a range takes in, ``chunk_rows`` how
-    many rows a chunk has; results do not depend on them.
+    says how keys are cut into ranges (``scan.Width``), ``chunk_rows`` how many
+    rows a chunk has; results do not depend on them.
     """
     keys = list(feature_set.keys)
     rows = events.where(finite(F.col("price")))
+    width = spread(events, keys, order, width)
     for n in feature_set.nodes:
         if n.kind == "lag" and int(n.param("periods", 1)) < 1:
             raise ValueError("a lag looks back one row at least")

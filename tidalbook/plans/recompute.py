@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidalbook.operators.scan import DAY_US, fresh, running
+from tidalbook.operators.scan import AUTO, Width, fresh, running, spread
 from tidalbook.plans import features
 from tidalbook.plans.definitions import FeatureSet, Node
 
@@ -46,7 +46,7 @@ def reach(feature_set: FeatureSet) -> int | None:
     return max((deep(n) for n in feature_set.nodes), default=0) + 1
 
 
-def recompute(made: DataFrame, late: DataFrame, feature_set: FeatureSet, order: Sequence[str] = features.ORDER, width: int | None = DAY_US, mark: str = "recomputed") -> DataFrame:
+def recompute(made: DataFrame, late: DataFrame, feature_set: FeatureSet, order: Sequence[str] = features.ORDER, width: Width = AUTO, mark: str = "recomputed") -> DataFrame:
     """Rows of ``made`` (events with their features) and ``late`` (events), with the features of a full run.
 
     ``mark`` is true for rows whose features were computed now.
@@ -61,6 +61,7 @@ def recompute(made: DataFrame, late: DataFrame, feature_set: FeatureSet, order:
 
     both = made.join(hit, same_key, "left_semi").withColumn(is_late, F.lit(False)).unionByName(new.withColumn(is_late, F.lit(True)), allowMissingColumns=True)
     span = reach(feature_set)
+    width = spread(made, keys, order, width)
     if span is None:
         from_here = running(both, keys, order, "max", F.col(is_late).cast("int"), touched, width)
         rows = from_here.withColumns({touched: F.col(touched) == 1, needed: F.lit(True)})

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidalbook.functions import normalize, scalars, shapes, validators
 from tidalbook.operators import anomaly, asof, compare, dedup, gaps, quality, recovery, reports
-from tidalbook.operators.scan import ARRIVALS, DAY_US
 from tidalbook.plans import features, recompute, trading, transformers
 from tidalbook.plans.definitions import FeatureSet, default_set, node
 from tidalbook.session import scratch_path
@@ -300,7 +299,7 @@ HIGH = f"max(event_us) OVER ({ARRIVAL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PR
 
 @registered(f"{EV}, g AS (SELECT *, greatest((event_us - {HIGH}) / 1e6, 0) AS gap FROM ev) SELECT symbol, arrival_seq, CASE WHEN gap > 3600 THEN 'weak_gap_detection' ELSE 'none' END AS mode, {s6('CASE WHEN gap > 3600 THEN gap ELSE 0 END')} AS gap_seconds FROM g")
 def gaps_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = gaps.detect_gaps(market_events(spark, sf_dir), ["symbol"], 3600.0, width=ARRIVALS)
+    found = gaps.detect_gaps(market_events(spark, sf_dir), ["symbol"], 3600.0)
     return found.select(*ID, "mode", q6("gap_seconds").alias("gap_seconds"))
 
 
@@ -362,7 +361,7 @@ JUMP = "CASE WHEN prev <> 0 THEN abs(price - prev) / abs(prev) END"
 
 @registered(f"{EV}, p AS (SELECT *, lag(price) OVER ({ARRIVAL}) AS prev FROM ev), j AS (SELECT *, {JUMP} AS jump FROM p) SELECT symbol, arrival_seq, {s6('jump')} AS jump, CASE WHEN jump >= 0.6 THEN 'fail' WHEN jump >= 0.35 THEN 'quarantine' WHEN jump >= 0.2 THEN 'warn' END AS jump_tier FROM j")
 def anomaly_jump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = anomaly.mark_anomalies(market_events(spark, sf_dir), ["symbol"], width=ARRIVALS)
+    found = anomaly.mark_anomalies(market_events(spark, sf_dir), ["symbol"])
     return found.select(*ID, q6("jump").alias("jump"), "jump_tier")
 
 
@@ -392,24 +391,24 @@ LATE = "max(event_us) OVER (PARTITION BY symbol ORDER BY available_us, arrival_s
 
 @registered(f"{EV}, m AS (SELECT *, {LATE} AS mark FROM ev) SELECT symbol, arrival_seq, coalesce(event_us < mark, false) AS late, CASE WHEN event_us < mark THEN mark - event_us ELSE 0 END AS lateness_us FROM m")
 def late_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gaps.late_rows(market_events(spark, sf_dir), ["symbol"], order=["available_us", "arrival_seq"], width=DAY_US).select(*ID, "late", "lateness_us")
+    return gaps.late_rows(market_events(spark, sf_dir), ["symbol"], order=["available_us", "arrival_seq"]).select(*ID, "late", "lateness_us")
 
 
 @registered(f"{EV}, m AS (SELECT *, {LATE} AS mark FROM ev) SELECT symbol, arrival_seq FROM m WHERE mark IS NULL OR event_us >= mark")
 def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gaps.late_rows(market_events(spark, sf_dir), ["symbol"], order=["available_us", "arrival_seq"], policy="drop", width=DAY_US).select(*ID)
+    return gaps.late_rows(market_events(spark, sf_dir), ["symbol"], order=["available_us", "arrival_seq"], policy="drop").select(*ID)
 
 
 @registered(f"{EV}, m AS (SELECT *, max(available_us) OVER ({ARRIVAL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM ev) SELECT symbol, arrival_seq FROM m WHERE mark IS NULL OR available_us >= mark")
 def watermark_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gaps.watermark_reject(market_events(spark, sf_dir), ["symbol"], width=ARRIVALS).select(*ID)
+    return gaps.watermark_reject(market_events(spark, sf_dir), ["symbol"]).select(*ID)
 
 
 @registered(f"""{EV}, m AS (SELECT *, {HIGH.replace('event_us', 'available_us', 1)} AS mark FROM ev), l AS (SELECT *, coalesce(available_us < mark, false) AS late FROM m)
 SELECT symbol, arrival_seq, CAST(sum(CAST(late AS BIGINT)) OVER c AS BIGINT) AS late_so_far, max(CASE WHEN late THEN mark - available_us ELSE 0 END) OVER c AS worst_so_far FROM l WINDOW c AS ({ARRIVAL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def lateness_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = market_events(spark, sf_dir)
-    return gaps.cumulative_lateness(ev.withColumn("event_us", F.col("available_us")), ["symbol"], width=ARRIVALS).select(*ID, "late_so_far", "worst_so_far")
+    return gaps.cumulative_lateness(ev.withColumn("event_us", F.col("available_us")), ["symbol"]).select(*ID, "late_so_far", "worst_so_far")
 
 
 @registered("""WITH q AS (SELECT l_shipdate, l_returnflag AS ds, l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_shipdate END AS provider, CASE WHEN l_orderkey % 1000 = 0 THEN NULL ELSE 'x' END AS lineage FROM lineitem),
@@ -424,7 +423,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("ds"), "l_orderkey", "l_linenumber", "l_shipdate", micros(F.col("l_shipdate")).alias("event_us"),
         F.when(F.col("l_linenumber") != 7, F.col("l_shipdate")).alias("provider"), F.when(F.col("l_orderkey") % 1000 != 0, F.lit("x")).alias("lineage"),
     )
-    return quality.quality_report(rows, ["ds"], ["l_orderkey", "l_shipdate"], "provider", "lineage", "event_us", ["l_orderkey", "l_linenumber", "l_shipdate"], width=1 << 17)
+    return quality.quality_report(rows, ["ds"], ["l_orderkey", "l_shipdate"], "provider", "lineage", "event_us", ["l_orderkey", "l_linenumber", "l_shipdate"])
 
 
 CATALOG = """c AS (SELECT 'n' || n_nationkey AS path, n_name AS venue, 'trade' AS stream FROM nation),
@@ -557,7 +556,7 @@ def tiering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"{EV} SELECT symbol, arrival_seq FROM (SELECT *, row_number() OVER ({ARRIVAL}) AS rn FROM ev) WHERE (rn - 1) % 10 = 0")
 def downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.downsample(market_events(spark, sf_dir), ["symbol"], ["arrival_seq"], 10, ARRIVALS).select(*ID)
+    return quality.downsample(market_events(spark, sf_dir), ["symbol"], ["arrival_seq"], 10).select(*ID)
 
 
 @registered("""SELECT c_custkey, '{"account":"' || c_mktsegment || '","symbol":"U' || c_custkey || '"}' AS scope, CAST('0x' || substr(sha256('{"account":"' || c_mktsegment || '","symbol":"U' || c_custkey || '"}'), 1, 8) AS BIGINT) / 4294967295.0 < 0.25 AS canary FROM customer""")
@@ -755,7 +754,7 @@ def schema_drift_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"""{EV} SELECT symbol, arrival_seq, {s6(RET)} AS ret_1, {s6(full('avg', 20))} AS sma_20, {s6(full('max', 5))} AS max_5 FROM ev""")
 def recompute_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of the rows that came in time, then of those that came late: the same as of all rows at once."""
-    events = _stored(gaps.late_rows(market_events(spark, sf_dir), ["symbol"], "available_us", width=ARRIVALS), "events")
+    events = _stored(gaps.late_rows(market_events(spark, sf_dir), ["symbol"], "available_us"), "events")
     graph = FeatureSet("late", "v1", (node("ret_1", "return", "price"), node("sma_20", "rolling", "price", window=20, aggregator="sma"), node("max_5", "rolling", "price", window=5, aggregator="max")))
     made = _stored(features.compute(events.where("not late"), graph), "features")
     whole = recompute.recompute(made, events.where("late"), graph)

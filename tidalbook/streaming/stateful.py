@@ -6,6 +6,7 @@ checkpoint. Rows of a micro-batch are taken in arrival order.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -25,14 +26,21 @@ def _in_order(frames: Iterable[pd.DataFrame], order: str) -> pd.DataFrame:
     return pd.concat(list(frames), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
 
 
+def has_watermark(events: DataFrame) -> bool:
+    """Whether a node of the plan sets a watermark, whatever columns are called."""
+    plan = events._jdf.queryExecution().analyzed().treeString()
+    return re.search(r"^[ :+\-]*EventTimeWatermark ", plan, re.MULTILINE) is not None
+
+
 def stream_dedup(events: DataFrame, key: str, time: str = "event_us", ttl_us: int = 300_000_000, order: str = "arrival_seq") -> DataFrame:
     """Rows whose key was not seen within the time to live; each sighting, kept or not, renews it.
 
     The state of a key is one number. With a watermark on ``events`` it goes
     once the watermark is past the last sighting and the time to live; without
-    one it stays. Rows without a time are kept and renew nothing.
+    one it stays. Rows without a time are kept and renew nothing. Rows without a
+    key are kept: they are no sighting of anything.
     """
-    expires = events.isStreaming and "watermark" in events._jdf.queryExecution().analyzed().toString().lower()
+    expires = events.isStreaming and has_watermark(events)
 
     def update(_: tuple[Any, ...], frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -53,7 +61,8 @@ def stream_dedup(events: DataFrame, key: str, time: str = "event_us", ttl_us: in
         yield rows[keep]
 
     timeout = GroupStateTimeout.EventTimeTimeout if expires else GroupStateTimeout.NoTimeout
-    return events.groupBy(key).applyInPandasWithState(update, events.schema, "seen bigint", "append", timeout)
+    keyed = events.where(F.col(key).isNotNull()).groupBy(key).applyInPandasWithState(update, events.schema, "seen bigint", "append", timeout)
+    return keyed.unionByName(events.where(F.col(key).isNull()))
 
 
 def stream_late(events: DataFrame, keys: list[str], time: str = "event_us", policy: str = "accept", order: str = "arrival_seq") -> DataFrame:
