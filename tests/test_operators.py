@@ -111,6 +111,43 @@ def test_raw_landing_window_replay_and_errors(spark, tmp_path):
     assert lake.raw_manifest(spark, "file://" + str(folder)).first().lines == 5
 
 
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    want = {}
+    for name, count in (("a", 4000), ("b", 1), ("c", 700), ("d", 0)):
+        lines = ["" if k % 50 == 7 else f"{name} {k} " + "x" * (k % 90) for k in range(count)]
+        (folder / f"{name}.txt").write_text("\n".join(lines) + ("\n" if name == "a" else ""))
+        want |= {(f"{name}.txt", k + 1): line for k, line in enumerate(lines)}
+    known = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = lake.numbered_lines(spark, "file://" + str(folder))
+        assert got.rdd.getNumPartitions() > 8
+        assert {(r.file.rsplit("/", 1)[1], r.line_no): r.value for r in got.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", known)
+
+
+def test_replay_of_all_kinds_counts_events(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    at = lambda k: f"2024-01-01T00:00:{k:02d}Z"
+    said = lambda body, k, **more: json.dumps({"payload": json.dumps({**body, "s": "x", "E": 1000 + k}), "receive_ts": at(k), **more})
+    trade, book, odd = {"e": "trade", "p": "1", "q": "1"}, {"e": "bookTicker", "u": 4, "b": "1", "a": "3"}, {"e": "odd"}
+    bar = lambda closed: {"e": "kline", "k": {"t": 1, "T": 2, "c": "5", "x": closed}}
+    (folder / "b.json").write_text("\n".join([said(trade, 5), said(book, 5), said(trade, 1, run_id="r", ingestion_seq=2), said(odd, 0, run_id="r", ingestion_seq=1)]))
+    (folder / "a.json").write_text("\n".join([said(bar(True), 5), "", said(bar(False), 1), said(trade, 5), said(book, 9, run_id="r")]))
+    raw, broken = lake.read_raw(spark, "file://" + str(folder))
+    assert broken.count() == 0
+    kinds = ("trade", "kline", "book")
+    order = [(r.kind, r.raw_ingestion_seq) for r in replay.replayed(raw, kinds=kinds).collect()]
+    assert order == [("trade", 2), ("kline", None), ("trade", None), ("trade", None), ("book", None), ("book", None)]
+    assert [r.kind for r in replay.replayed(raw, 3, kinds).collect()] == ["trade", "kline", "trade"]
+    assert replay.replayed(raw, 2).count() == 2 and "kind" not in replay.replayed(raw, 2).columns
+    assert replay.replayed(raw.limit(0), kinds=kinds).count() == 0
+
+
 def test_bars_and_books_of_messages(spark):
     bar = {"e": "kline", "E": 2000, "s": "ethusdt", "k": {"t": 1000, "T": 1999, "i": "1m", "c": "5", "q": "7", "x": True, "h": "6"}}
     book = {"e": "bookTicker", "s": "ethusdt", "u": 4, "b": "1", "B": "2", "a": "3", "A": "4"}

@@ -67,8 +67,8 @@ def trades(opened: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def bars(opened: DataFrame, closed_only: bool = True) -> DataFrame:
-    """Typed bars; open, high and low stand in for by the close, the volume is the quote's."""
+def bars(opened: DataFrame, closed_only: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed bars, with the columns ``keep``; open, high and low stand in for by the close, the volume is the quote's."""
     rows = opened.where("kind = 'kline'")
     if closed_only:
         rows = rows.where(F.coalesce(F.lower(_text("k.x")), F.lit("true")) != "false")
@@ -86,11 +86,12 @@ def bars(opened: DataFrame, closed_only: bool = True) -> DataFrame:
         _ms("k.t").alias("open_ts"),
         _ms("k.T").alias("close_ts"),
         F.lit(VERSION).alias("normalizer_version"),
+        *keep,
     )
 
 
-def books(opened: DataFrame) -> DataFrame:
-    """Typed top-of-book quotes; price is the mean where both sides are set, else the set one."""
+def books(opened: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed top-of-book quotes, with the columns ``keep``; price is the mean where both sides are set, else the set one."""
     bid, ask = _double("b"), _double("a")
     return opened.where("kind = 'book'").select(
         F.upper(F.trim(_text("s"))).alias("symbol"),
@@ -101,6 +102,8 @@ def books(opened: DataFrame) -> DataFrame:
         _double("A").alias("ask_size"),
         _text("u").alias("sequence_id"),
         F.when((bid != 0) & (ask != 0), (bid + ask) / 2).when(bid != 0, bid).otherwise(ask).alias("price"),
+        F.lit(VERSION).alias("normalizer_version"),
+        *keep,
     )
 
 

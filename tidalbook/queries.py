@@ -610,6 +610,25 @@ def replay_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.replayed(wanted).select("symbol", "raw_ingestion_seq", "raw_run_id", F.unix_millis("exchange_ts").alias("exchange_ms"), "price", F.unix_micros("process_ts").alias("process_us"))
 
 
+@registered(f"""{EV} SELECT symbol, CASE arrival_seq % 3 WHEN 0 THEN 'trade' WHEN 1 THEN 'kline' ELSE 'book' END AS kind, arrival_seq AS raw_ingestion_seq, epoch_us(event_ts) // 1000 AS exchange_ms,
+  CASE WHEN arrival_seq % 3 <> 1 THEN price END AS price, CASE WHEN arrival_seq % 3 = 1 THEN price END AS close, CASE WHEN arrival_seq % 3 = 2 THEN CAST(arrival_seq AS VARCHAR) END AS sequence_id
+FROM ev WHERE arrival_seq % 3 <> 1 OR arrival_seq % 2 = 0""")
+def replay_all_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as raw messages, a third each trades, bars (half of them closed) and quotes, landed as JSON lines and replayed."""
+    ev = read_table(spark, sf_dir, "events")
+    n, ms, value = F.col("event_id"), F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.col("value").cast("string")
+    symbol = F.concat(F.lit('"s":"u'), F.col("user_id").cast("string"), F.lit('","E":'), ms)
+    trade = F.concat(F.lit('{"e":"trade",'), symbol, F.lit(',"p":"'), value, F.lit('","q":"1"}'))
+    bar = F.concat(F.lit('{"e":"kline",'), symbol, F.lit(',"k":{"t":'), ms, F.lit(',"T":'), ms, F.lit(',"c":"'), value, F.when(n % 2 == 0, '","q":"1","x":true}}').otherwise('","q":"1","x":false}}'))
+    book = F.concat(F.lit('{"e":"bookTicker",'), symbol, F.lit(',"u":'), n.cast("string"), F.lit(',"b":"'), value, F.lit('","a":"'), value, F.lit('","B":"1","A":"1"}'))
+    payload = F.when(n % 3 == 0, trade).when(n % 3 == 1, bar).otherwise(book)
+    at = F.col("ts").cast("timestamp")
+    path = scratch_path(spark, "raw")
+    lake.write_raw(ev.select(payload.alias("payload"), F.lit("BINANCE").alias("venue"), F.lit("mixed").alias("stream_type"), at.alias("exchange_ts"), at.alias("receive_ts"), F.lit("run").alias("run_id"), n.alias("ingestion_seq")), path)
+    found = replay.replayed(lake.read_raw(spark, path)[0], kinds=("trade", "kline", "book"))
+    return found.select("symbol", "kind", "raw_ingestion_seq", F.unix_millis("exchange_ts").alias("exchange_ms"), "price", "close", "sequence_id")
+
+
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market_events(spark, sf_dir).withColumns({"run_id": F.concat(F.lit("run-"), "kind"), "entity_scope": F.col("symbol")})
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,21 +124,45 @@ def write_raw(records: DataFrame, path: str) -> None:
 RAW_SCHEMA = "payload string, venue string, stream_type string, symbol string, exchange_ts timestamp, receive_ts timestamp, run_id string, ingestion_seq bigint"
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, file, line_no, partition columns): the lines of text files with where they stand, from 1.
+
+    A large file is read by several tasks. Each split of a file numbers its
+    lines by itself; the splits of a file (some rows a gigabyte) are summed up
+    in order, and what comes before a split is joined back to its lines.
+    """
+    lines = spark.read.text(path)
+    columns = [f"`{c}`" for c in lines.columns]
+    file, split, read, of_file, of_split, first, before, n = fresh([*lines.columns, "file", "line_no"], "in_file", "in_split", "read_at", "of_file", "of_split", "first_read", "lines_before", "n_lines")
+    rows = lines.select(*columns, F.col("_metadata.file_path").alias(file), F.col("_metadata.file_block_start").alias(split)).withColumn(read, F.monotonically_increasing_id())
+    splits = rows.groupBy(F.col(file).alias(of_file), F.col(split).alias(of_split)).agg(F.min(read).alias(first), F.count("*").alias(n))
+    earlier = Window.partitionBy(of_file).orderBy(of_split).rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn(before, F.coalesce(F.sum(n).over(earlier), F.lit(0)))
+    placed = rows.join(splits, (F.col(file) == F.col(of_file)) & (F.col(split) == F.col(of_split)))
+    return placed.select(*columns, F.col(file).alias("file"), (F.col(read) - F.col(first) + F.col(before) + 1).alias("line_no"))
+
+
 def read_raw(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(good rows, broken lines) of landed JSON lines; blank lines are neither. Partition columns in the path stay."""
+    """(good rows, broken lines) of landed JSON lines, each with its file and line_no; blank lines are neither. Partition columns in the path stay."""
     (broken,) = fresh(T.StructType.fromDDL(RAW_SCHEMA).names, "broken")
     schema = T.StructType.fromDDL(RAW_SCHEMA).add(broken, T.StringType())
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = numbered_lines(spark, path).where(F.trim("value") != "")
     rows = lines.withColumn("row", F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}))
     whole = F.col(f"row.{broken}").isNull() & F.col("row").isNotNull()
     extra = [c for c in lines.columns if c != "value" and c not in schema.names]
-    return rows.where(whole).select("row.*", *extra).drop(broken), rows.where(~whole).select(F.col("value").alias("_broken"))
+    return rows.where(whole).select("row.*", *extra).drop(broken), rows.where(~whole).select(F.col("value").alias("_broken"), "file", "line_no")
 
 
-def replay_order(raw: DataFrame) -> DataFrame:
-    """Rows in replay order: those with run and sequence first, by them; the rest by receive time."""
+def replay_key(columns: Sequence[str]) -> list[Column]:
+    """Replay order: rows with run and sequence first, by them; then by receive time, file and line, or by the payload where those are not known."""
     numbered = F.col("run_id").isNotNull() & F.col("ingestion_seq").isNotNull()
-    return raw.orderBy(F.when(numbered, 0).otherwise(1), F.when(numbered, F.col("run_id")), F.when(numbered, F.col("ingestion_seq")), "receive_ts", "payload")
+    ends = [F.col(c) for c in ("file", "line_no") if c in columns] or [F.col("payload")]
+    return [F.when(numbered, 0).otherwise(1), F.when(numbered, F.col("run_id")), F.when(numbered, F.col("ingestion_seq")), F.col("receive_ts"), *ends]
+
+
+def replay_order(raw: DataFrame) -> DataFrame:
+    """Rows in replay order."""
+    return raw.orderBy(*replay_key(raw.columns))
 
 
 def ambiguous_order(raw: DataFrame) -> DataFrame:
