@@ -12,7 +12,7 @@ from tidalbook.operators import anomaly, asof, compare, dedup, gaps, quality, re
 from tidalbook.plans import features, recompute, trading, transformers
 from tidalbook.plans.definitions import FeatureSet, default_set, node
 from tidalbook.session import scratch_path
-from tidalbook.sources import feature_store, instruments, lake, replay, runs, snapshots
+from tidalbook.sources import feature_store, instruments, lake, quarantine, replay, runs, snapshots
 from tidalbook.sources.events import market_events, micros, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -629,6 +629,19 @@ def replay_all_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("symbol", "kind", "raw_ingestion_seq", F.unix_millis("exchange_ts").alias("exchange_ms"), "price", "close", "sequence_id")
 
 
+@registered("""SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 2 ELSE 1 END AS attempts, CASE WHEN event_id % 9 = 0 THEN 'failed' ELSE 'replayed' END AS status,
+  CASE WHEN event_id % 9 = 0 THEN 'missing_price' END AS error FROM events""")
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as quarantined messages, a ninth of them without a price, replayed twice against one ledger."""
+    rows = _messages(spark, sf_dir)
+    broken = F.when(F.col("event_id") % 9 == 0, F.regexp_replace("payload", '"p":"[^"]*"', '"p":"none"')).otherwise(F.col("payload"))
+    held = _stored(quarantine.identified(rows.select("event_id", broken.alias("payload"), F.col("event_id").alias("quarantined_us"))), "quarantine")
+    first = _stored(quarantine.replay(held, spark.createDataFrame([], quarantine.LEDGER), 1).ledger, "ledger")
+    second = quarantine.replay(held, first, 2)
+    last = first.unionByName(second.ledger).groupBy("record_id").agg(F.max("attempt").alias("attempts"), F.max_by("status", "attempt").alias("status"), F.max_by("error", "attempt").alias("error"))
+    return held.select("event_id", "record_id").join(last, "record_id").drop("record_id")
+
+
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market_events(spark, sf_dir).withColumns({"run_id": F.concat(F.lit("run-"), "kind"), "entity_scope": F.col("symbol")})
 
