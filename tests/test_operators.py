@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,7 +211,7 @@ def test_ranges_by_counts(spark, monkeypatch):
     for df, order in ((hot, ["event_us", "arrival_seq"]), (sparse, ["arrival_seq", "event_us"])):
         bounds = scan.spread(df, ["symbol"], order)
         assert 10 < len(bounds) <= 30
-        sizes = [r["count"] for r in df.groupBy("symbol", scan._range(F.col(order[0]), bounds).alias("range")).count().collect()]
+        sizes = [r["count"] for r in df.groupBy("symbol", scan.range_of(F.col(order[0]), bounds).alias("range")).count().collect()]
         assert max(sizes) <= 250 and len(sizes) <= 3 * (len(bounds) + 1)
         values = {"total": ("sum", F.col("price"), True), "before": ("last", F.col("price"), False), "most": ("max", F.col("event_us"), False)}
         assert rows_of(scan.carry(df, ["symbol"], order, values, scan.AUTO)) == rows_of(scan.carry(df, ["symbol"], order, values))
@@ -219,6 +220,30 @@ def test_ranges_by_counts(spark, monkeypatch):
     assert scan.spread(hot, ["symbol"], ["event_us"]) is None and scan.spread(hot, ["symbol"], ["event_us"], 5) == 5
 
 
+@pytest.mark.parametrize(("capacity", "tolerance", "key_rows"), [(3, None, 1 << 20), (3, 40, 30), (1, None, 25), (50, 5, 40)])
+def test_cached_lookup_equals_a_cache(spark, monkeypatch, capacity, tolerance, key_rows):
+    rng = random.Random(capacity)
+    rows = [(n, rng.choice(["A", "A", "A", "B", None]), rng.random() < 0.4, rng.choice([None, *range(20)]) if n % 9 == 0 else n // 2 + rng.randrange(-30, 30)) for n in range(400)]
+    held, want = {}, {}
+    for n, key, is_ask, at in rows:
+        cache = held.setdefault(key, {})
+        if is_ask:
+            near = max((t for t in cache if at is not None and t <= at), default=None)
+            want[n] = cache[near] if near is not None and (tolerance is None or at - near <= tolerance) else None
+        elif at is not None:
+            cache[at] = n
+            if len(cache) > capacity:
+                del cache[min(cache)]
+    df = spark.createDataFrame(rows, "arrival_seq bigint, symbol string, is_ask boolean, at bigint").withColumns({"side": F.lit("s"), "put_row": F.lit(1)})
+    monkeypatch.setattr(scan, "KEY_ROWS", key_rows)
+    puts, asks = df.where("not is_ask").withColumnRenamed("at", "event_us"), df.where("is_ask")
+    got = asof.cached_lookup(puts, asks, ["symbol"], "event_us", "at", capacity, tolerance_us=tolerance)
+    assert {r.arrival_seq: r.found and r.found.arrival_seq for r in got.collect()} == want
+    assert got.columns == [*asks.columns, "found"]
+    assert asof.cached_lookup(puts.limit(0), asks, ["symbol"], "event_us", "at", 2).where("found is not null").count() == 0
+    assert asof.cached_lookup(puts, asks.limit(0), ["symbol"], "event_us", "at", 2).count() == 0
+
+
 def test_names_that_clash_and_null_datasets(spark):
     odd = some_events(spark).withColumns({"_high": F.lit(1), "time_before": F.lit(2), "_bar": F.lit(3), "_cursor": F.lit(4), "_n": F.lit(5)})
     assert set(odd.columns) <= set(gaps.detect_gaps(odd, ["symbol"], 1.0).columns)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_right, insort
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidalbook.operators.scan import last_before
+from tidalbook.operators.scan import fresh, last_before, range_of, spread
 
 
 def asof_join(
@@ -109,3 +114,79 @@ def retained(history: DataFrame, keys: Sequence[str], now_us: int, ttl_us: int,
     """What retention keeps: rows available within the time to live, and of those the newest ``keep`` of a key."""
     alive = history.where(F.col("available_us") >= now_us - ttl_us)
     return recent(alive, keys, keep).drop("rank")
+
+
+def cached_lookup(puts: DataFrame, asks: DataFrame, keys: Sequence[str], time: str, at: str, capacity: int, arrival: str = "arrival_seq", alias: str = "found", tolerance_us: int | None = None) -> DataFrame:
+    """Each row of ``asks`` with what a cache of ``capacity`` times a key would give it, as a struct ``alias``.
+
+    Rows of both tables are taken in the order of ``arrival``, puts first. A put
+    sets its time's row; beyond the capacity the smallest time goes. An ask gets
+    the row of the largest time that the cache holds then and that is not after
+    ``at``, or null where there is none, or it is older than ``tolerance_us``.
+    Null keys are a key; puts without a time and asks without ``at`` find and
+    are found by nothing; of puts of equal arrival and time any one is taken.
+
+    A key with very many rows is cut into ranges of arrivals by counts. What the
+    cache holds before a range is the newest times of all ranges before: each
+    range gives its own ``capacity`` newest, and these, MOST_RANGES times
+    ``capacity`` rows a key at most, are folded from range to range.
+    """
+    side, order, when, part, row, ask, *own = fresh([*puts.columns, *asks.columns, alias], "side", "order", "when", "part", "put_row", "ask_row", *[f"key{k}" for k in range(len(keys))])
+    named = [F.col(k).alias(o) for k, o in zip(keys, own, strict=True)]
+    put = puts.where(F.col(time).isNotNull()).select(*named, F.lit(1).alias(side), F.col(arrival).alias(order), F.col(time).cast("bigint").alias(when), F.struct("*").alias(row))
+    asked = asks.select(*named, F.lit(2).alias(side), F.col(arrival).alias(order), F.col(at).cast("bigint").alias(when), F.struct("*").alias(ask))
+    both = put.unionByName(asked, allowMissingColumns=True)
+    bounds = spread(both, own, [order])
+    both = both.withColumn(part, F.lit(0) if bounds is None else F.coalesce(range_of(F.col(order), bounds), F.lit(-1)))
+    if bounds is not None:
+        newest = both.where(F.col(side) == 1).groupBy(*own, part, when).agg(F.max_by(row, order).alias(row))
+        newest = newest.withColumn(side, F.row_number().over(Window.partitionBy(*own, part).orderBy(F.desc(when)))).where(F.col(side) <= capacity)
+        marks = both.where(F.col(side) == 2).select(*own, part).distinct()
+        folded = newest.unionByName(marks, allowMissingColumns=True).select(*own, part, when, row)
+
+        def fold(rows: pd.DataFrame) -> pd.DataFrame:
+            held: dict[int, object] = {}
+            out = []
+            for number, group in rows.sort_values(part, kind="stable").groupby(part, sort=True):
+                if group[when].isna().any():
+                    out += [(*rows[own].iloc[0], number, t, r) for t, r in held.items()]
+                for t, r in zip(group[when], group[row], strict=True):
+                    if not pd.isna(t):
+                        held[int(t)] = r
+                held = dict(sorted(held.items())[-capacity:])
+            return pd.DataFrame(out, columns=[*own, part, when, row])
+
+        before = folded.groupBy(*own).applyInPandas(fold, folded.schema)
+        both = both.unionByName(before.withColumn(side, F.lit(0)), allowMissingColumns=True)
+
+    schema = T.StructType([*asks.schema.fields, T.StructField(alias, T.StructType(puts.schema.fields))])
+    target = to_arrow_schema(schema)
+    by = [*own, part]
+    places = [both.columns.index(c) for c in (*by, side, when, row, ask)]
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current: object = None
+        times: list[int] = []
+        held: dict[int, object] = {}
+        for batch in batches:
+            columns = [batch.column(p).to_pylist() for p in places]
+            out, found = [], []
+            for *key, kind, t, told, asking in zip(*columns, strict=True):
+                if key != current:
+                    current, times, held = key, [], {}
+                if kind < 2:
+                    if t not in held:
+                        insort(times, t)
+                    held[t] = told
+                    if len(times) > capacity:
+                        del held[times.pop(0)]
+                    continue
+                place = bisect_right(times, t) if t is not None else 0
+                near = times[place - 1] if place else None
+                out.append(asking)
+                found.append(held[near] if near is not None and (tolerance_us is None or t - near <= tolerance_us) else None)
+            if out:
+                rows = pa.array(out, pa.struct(list(target)[:-1]))
+                yield pa.RecordBatch.from_arrays([*rows.flatten(), pa.array(found, target.field(len(target) - 1).type)], schema=target)
+
+    return both.repartition(*by).sortWithinPartitions(*by, F.when(F.col(side) > 0, F.col(order)).asc_nulls_first(), side, when).mapInArrow(look, schema)

@@ -80,7 +80,8 @@ def spread(df: DataFrame, keys: Order, order: Order, width: Width = AUTO) -> Wid
     return sorted(set(bounds or []))
 
 
-def _range(column: Column, width: Width) -> Column:
+def range_of(column: Column, width: Width) -> Column:
+    """The number of the range that a value is in; null for null."""
     if isinstance(width, int | float):
         return F.floor(column / F.lit(width))
     bounds = F.array(*map(F.lit, width)) if width else F.array().cast("array<double>")
@@ -103,7 +104,7 @@ def carry(df: DataFrame, keys: Order, order: Order, values: Running, width: Widt
     cut, *extra = fresh([*df.columns, *names], "range", *[f"{kind}_{k}" for kind in ("value", "sum", "carried") for k in range(len(names))])
     given, sums, carried = (extra[k * len(names) : (k + 1) * len(names)] for k in range(3))
     by = [*keys, cut]
-    marked = df.withColumns({cut: _range(F.col(order[0]), width), **{g: values[n][1] for g, n in zip(given, names, strict=True)}})
+    marked = df.withColumns({cut: range_of(F.col(order[0]), width), **{g: values[n][1] for g, n in zip(given, names, strict=True)}})
     rows = marked.withColumns({n: fold(values[n][0], F.col(g)).over(before(by, values[n][2])) for g, n in zip(given, names, strict=True)})
     at = F.struct(*order)
     total = lambda what, g: F.max_by(g, F.when(F.col(g).isNotNull(), at)) if what == "last" else _FOLD[what](g)

@@ -219,6 +219,19 @@ def asof_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("o_orderkey", F.col("r.arrival_seq").alias("matched"))
 
 
+@registered(f"""{EV}, a AS (SELECT symbol, arrival_seq, event_us - 3600000000 AS at FROM ev WHERE kind = 'click'),
+p AS (SELECT a.arrival_seq AS ask, a.at, e.available_us AS t, e.arrival_seq AS n, dense_rank() OVER (PARTITION BY a.arrival_seq ORDER BY e.available_us DESC) AS age
+  FROM a JOIN ev e ON e.symbol = a.symbol AND e.kind <> 'click' AND e.arrival_seq <= a.arrival_seq),
+f AS (SELECT ask, arg_max(n, (t, n)) AS matched FROM p WHERE age <= 5 AND t <= at GROUP BY ask)
+SELECT a.symbol, a.arrival_seq, f.matched FROM a LEFT JOIN f ON f.ask = a.arrival_seq""")
+def asof_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks ask what the five newest other events of their symbol say of an hour before."""
+    ev = market_events(spark, sf_dir).select(*ID, "kind", "event_us", "available_us")
+    asks = ev.where("kind = 'click'").select(*ID, (F.col("event_us") - 3_600_000_000).alias("at"))
+    found = asof.cached_lookup(ev.where("kind <> 'click'").select(*ID, "available_us"), asks, ["symbol"], "available_us", "at", 5)
+    return found.select(*ID, F.col("found.arrival_seq").alias("matched"))
+
+
 @registered(f"""{EV}, l AS (SELECT * FROM ev WHERE kind = 'click'), r AS (SELECT symbol, available_us, arg_max(price, event_us) AS aux_price FROM ev WHERE kind = 'view' GROUP BY ALL)
 SELECT l.symbol, l.arrival_seq, r.aux_price IS NOT NULL AS aux_present, r.aux_price AS aux_price, greatest(l.available_us, coalesce(r.available_us, 0)) AS cutoff_us
 FROM l ASOF LEFT JOIN r ON l.symbol = r.symbol AND l.available_us >= r.available_us""")
