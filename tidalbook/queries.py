@@ -219,10 +219,10 @@ def asof_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("o_orderkey", F.col("r.arrival_seq").alias("matched"))
 
 
-@registered(f"""{EV}, a AS (SELECT symbol, arrival_seq, event_us - 3600000000 AS at FROM ev WHERE kind = 'click'),
-p AS (SELECT a.arrival_seq AS ask, a.at, e.available_us AS t, e.arrival_seq AS n, dense_rank() OVER (PARTITION BY a.arrival_seq ORDER BY e.available_us DESC) AS age
+@registered(f"""{EV}, a AS (SELECT symbol, arrival_seq, event_us - 3600000000 AS moment FROM ev WHERE kind = 'click'),
+p AS (SELECT a.arrival_seq AS ask, a.moment, e.available_us AS t, e.arrival_seq AS n, dense_rank() OVER (PARTITION BY a.arrival_seq ORDER BY e.available_us DESC) AS age
   FROM a JOIN ev e ON e.symbol = a.symbol AND e.kind <> 'click' AND e.arrival_seq <= a.arrival_seq),
-f AS (SELECT ask, arg_max(n, (t, n)) AS matched FROM p WHERE age <= 5 AND t <= at GROUP BY ask)
+f AS (SELECT ask, arg_max(n, (t, n)) AS matched FROM p WHERE age <= 5 AND t <= moment GROUP BY ask)
 SELECT a.symbol, a.arrival_seq, f.matched FROM a LEFT JOIN f ON f.ask = a.arrival_seq""")
 def asof_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks ask what the five newest other events of their symbol say of an hour before."""
