@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import random
@@ -244,6 +245,35 @@ def test_cached_lookup_equals_a_cache(spark, monkeypatch, capacity, tolerance, k
     assert asof.cached_lookup(puts, asks.limit(0), ["symbol"], "event_us", "at", 2).count() == 0
 
 
+def test_instrument_records(spark):
+    entry = lambda symbol, tick="0.01000000", step="1": {"symbol": symbol, "baseAsset": "btc", "quoteAsset": "Usdt", "filters": [{"filterType": "OTHER"}, {"filterType": "price_filter", "tickSize": tick}, {"filterType": "LOT_SIZE", "stepSize": step}]}
+    listing = {"b": 1, "a": [1, 2], "symbols": [entry("btcusdt"), entry("ethusdt", "0.5", "0.000100"), entry("", "1"), entry("odd", "")]}
+    df = lambda one: spark.createDataFrame([(json.dumps(one),)], "payload string")
+    got = {r.symbol: r for r in instruments.records(df(listing), "binance", ["BtcUsdt", "ETHUSDT"]).collect()}
+    assert {k: (r.base, r.quote, r.tick_size, r.step_size, r.price_precision, r.size_precision) for k, r in got.items()} == {"BTCUSDT": ("BTC", "USDT", "0.01000000", "1", 2, 0), "ETHUSDT": ("BTC", "USDT", "0.5", "0.000100", 1, 4)}
+    version = hashlib.sha256(json.dumps(listing, sort_keys=True, separators=(",", ":")).encode()).hexdigest()[:16]
+    assert {r.venue_snapshot_version for r in got.values()} == {version}
+    assert instruments.records(df(dict(reversed(listing.items()))), "binance", ["btcusdt"]).first().venue_snapshot_version == version
+    with pytest.raises(KeyError, match="XRP"):
+        instruments.records(df(listing), "binance", ["btcusdt", "xrp"])
+    with pytest.raises(Exception, match="missing PRICE_FILTER.tickSize for instrument ODD"):
+        instruments.records(df(listing), "binance").collect()
+
+
+def test_recovered_rows_that_were_asked_for(spark, monkeypatch):
+    rng = random.Random(3)
+    wanted = [("a", 5, 9), ("a", 7, 7), ("b", 20, 10**15), (None, 1, 2)] + [("c", k, k + rng.randrange(4)) for k in range(0, 200, 9)]
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([None, *range(30)]) if n % 2 else rng.randrange(220), n) for n in range(300)]
+    df = spark.createDataFrame(rows, "symbol string, cursor bigint, is_row int")
+    asks = spark.createDataFrame(wanted, "symbol string, first bigint, last bigint")
+    want = sorted(n for key, c, n in rows if c is not None and any(key == k and low <= c <= high for k, low, high in wanted))
+    for key_rows in (1 << 20, 20):
+        monkeypatch.setattr(scan, "KEY_ROWS", key_rows)
+        got = recovery.asked_for(df, asks, ["symbol"])
+        assert sorted(r.is_row for r in got.collect()) == want and got.columns == df.columns
+    assert recovery.asked_for(df, asks.limit(0), ["symbol"]).count() == 0
+
+
 def test_names_that_clash_and_null_datasets(spark):
     odd = some_events(spark).withColumns({"_high": F.lit(1), "time_before": F.lit(2), "_bar": F.lit(3), "_cursor": F.lit(4), "_n": F.lit(5)})
     assert set(odd.columns) <= set(gaps.detect_gaps(odd, ["symbol"], 1.0).columns)

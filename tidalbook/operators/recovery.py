@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidalbook.operators.dedup import keep_first
-from tidalbook.operators.scan import fresh
+from tidalbook.operators.scan import AUTO, Width, fresh, running, spread
 
 
 def trade_cursor(aggregate_id: Column, trade_id: Column, source_id: Column) -> Column:
@@ -23,12 +23,20 @@ def requests(gapped: DataFrame, keys: Sequence[str], cursor: str = "cursor") ->
     return lost.select(*keys, (at - F.col("missing")).alias("first"), (at - 1).alias("last"), at.alias("boundary"))
 
 
-def asked_for(recovered: DataFrame, wanted: DataFrame, keys: Sequence[str], cursor: str = "cursor") -> DataFrame:
-    """The recovered rows that some request names: a snapshot may hold more."""
-    own = fresh(recovered.columns, *[f"asked_{k}" for k in keys], "asked_cursor")
-    each = wanted.select(*[F.col(k).alias(o) for k, o in zip(keys, own, strict=False)], F.explode(F.sequence("first", "last")).alias(own[-1])).distinct()
-    on = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip([*keys, cursor], own, strict=True)]
-    return recovered.join(each, on, "left_semi")
+def asked_for(recovered: DataFrame, wanted: DataFrame, keys: Sequence[str], cursor: str = "cursor", width: Width = AUTO) -> DataFrame:
+    """The recovered rows that some request names: a snapshot may hold more.
+
+    Requests and rows of a key are scanned together in the order of their
+    cursors; a row is asked for if the furthest end of the requests that begin
+    at or before it reaches it. So a request costs one row however many cursors
+    it spans. Rows without a cursor are not asked for; repeated rows all stay.
+    """
+    place, side, end, reached = fresh(recovered.columns, "at_cursor", "is_row", "request_end", "reached")
+    rows = recovered.withColumns({place: F.col(cursor).cast("bigint"), side: F.lit(1), end: F.lit(None).cast("bigint")})
+    asks = wanted.select(*keys, F.col("first").cast("bigint").alias(place), F.lit(0).alias(side), F.col("last").cast("bigint").alias(end))
+    both = rows.unionByName(asks, allowMissingColumns=True)
+    out = running(both, keys, [place, side], "max", F.col(end), reached, spread(both, keys, [place], width))
+    return out.where((F.col(side) == 1) & (F.col(place) <= F.col(reached))).select(*recovered.columns)
 
 
 def merged(events: DataFrame, recovered: DataFrame, keys: Sequence[str], cursor: str = "cursor") -> DataFrame:
