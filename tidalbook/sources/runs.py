@@ -16,6 +16,15 @@ def record(vectors: DataFrame, run_id: str, definition_hash: str, fingerprint: s
     )
 
 
+def record_each(vectors: DataFrame, definition_hash: str, fingerprint: str, status: str = "completed") -> DataFrame:
+    """A row for each run_id that the vectors name, all in one aggregate; vectors without a run belong to none."""
+    bundle = F.substring(F.sha2(F.concat(F.lit(f"{definition_hash}|{fingerprint}|"), F.col("run_id")), 256), 1, 32)
+    rows = vectors.where(F.col("run_id").isNotNull()).groupBy("run_id").agg(F.count("*").alias("row_count"), F.min("event_us").alias("min_event_us"), F.max("event_us").alias("max_event_us"))
+    return rows.select(
+        "run_id", F.lit(definition_hash).alias("definition_hash"), F.lit(fingerprint).alias("input_fingerprint"), bundle.alias("bundle_id"), F.lit(status).alias("status"), "row_count", "min_event_us", "max_event_us"
+    )
+
+
 def registered(existing: DataFrame | None, new: DataFrame, order: str) -> DataFrame:
     """The registry after new run rows; of one run the last by ``order`` stays."""
     return upserted(existing, new, ["run_id"], order)
