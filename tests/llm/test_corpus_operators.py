@@ -224,6 +224,13 @@ def test_families_are_found_wherever_their_words_vary(spark, size, places):
     assert check_lines(mixed, got) == 22
 
 
+def test_line_dedup_without_broadcasts_is_the_same(spark, monkeypatch):
+    rows = made_lines(3)
+    want = rows_of(line_dedup.drop_recurring_lines(documents(spark, rows)))
+    monkeypatch.setattr(line_dedup, "SMALL_PAIRS", 0)
+    assert rows_of(line_dedup.drop_recurring_lines(documents(spark, rows))) == want
+
+
 def test_line_dedup_query(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
     got = queries.op5_line_dedup(spark, SMALL).collect()
