@@ -12,7 +12,7 @@ from tidalbook.operators import anomaly, asof, compare, dedup, gaps, quality, re
 from tidalbook.plans import features, recompute, trading, transformers
 from tidalbook.plans.definitions import FeatureSet, default_set, node
 from tidalbook.session import scratch_path
-from tidalbook.sources import feature_store, instruments, lake, quarantine, replay, runs, snapshots
+from tidalbook.sources import feature_store, instruments, lake, quarantine, replay, runs, snapshots, versions
 from tidalbook.sources.events import market_events, micros, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -804,6 +804,18 @@ def recompute_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(whole, "ret_1", "sma_20", "max_5")
 
 
+@registered("""SELECT event_type AS symbol, event_id AS arrival_seq, value + CASE WHEN day(ts) % 2 = 0 THEN 1 ELSE 0 END AS price, CASE WHEN day(ts) % 2 = 0 THEN 'n2' END AS normalizer_version FROM events""")
+def versioned_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events by kind and day in the layout of before, those of even days anew in the layout of now: each partition from where it is newest."""
+    base = scratch_path(spark, "layouts")
+    rows = read_table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"), F.to_date("ts").alias("date"), F.col("event_id").alias("arrival_seq"), F.col("value").alias("price"))
+    anew = rows.where(F.day("date") % 2 == 0).select(F.lit("prod").alias("env"), F.lit("BINANCE").alias("venue"), "symbol", "date", "arrival_seq", (F.col("price") + 1).alias("price"))
+    put = lambda df, at, by: df.repartition("symbol", "date").write.partitionBy(*by).parquet(at)
+    put(versions.stamped(rows, "v1"), f"{base}/prod", ("symbol", "date"))
+    put(versions.stamped(anew, "v2", "n2"), f"{base}/trades", lake.PARTITIONS)
+    return versions.read_layouts(spark, base, "trades", "prod", by_partition=True).select(*ID, "price", "normalizer_version")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

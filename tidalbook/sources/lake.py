@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidalbook.operators.dedup import keep_first
 from tidalbook.operators.scan import fresh
+from tidalbook.sources.files import digests
 
 PARTITIONS = ("env", "venue", "symbol", "date")
 #: Order of rows in a file.
@@ -175,10 +176,23 @@ def replay_report(raw: DataFrame) -> DataFrame:
 
 
 def raw_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: digest, bytes and lines, for files that fit in a row."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-    lines = F.length(F.decode("content", "UTF-8")) - F.length(F.replace(F.decode("content", "UTF-8"), F.lit("\n"), F.lit("")))
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"), lines.alias("lines"))
+    """Per landed file: digest, bytes and line ends; good and broken lines, run ids sorted, first and last exchange time in file order.
+
+    Bytes are digested in blocks and lines are read by splits, so files may be
+    larger than a task's memory. Blank lines count as line ends alone; empty run
+    ids and null times are left out. Files without a byte have no row.
+    """
+    good, broken = read_raw(spark, path)
+    of_good = good.groupBy("file").agg(
+        F.count("*").alias("line_count"),
+        F.array_sort(F.collect_set(F.nullif("run_id", F.lit("")))).alias("run_ids"),
+        F.min_by("exchange_ts", F.when(F.col("exchange_ts").isNotNull(), F.col("line_no"))).alias("first_exchange_ts"),
+        F.max_by("exchange_ts", F.when(F.col("exchange_ts").isNotNull(), F.col("line_no"))).alias("last_exchange_ts"),
+    )
+    of_broken = broken.groupBy("file").agg(F.count("*").alias("broken_lines"))
+    out = digests(spark, path, "*.json").join(of_good, "file", "left").join(of_broken, "file", "left")
+    counts = {c: F.coalesce(c, F.lit(0)) for c in ("line_count", "broken_lines")}
+    return out.withColumns({**counts, "run_ids": F.coalesce("run_ids", F.array().cast("array<string>")), "file": F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B")))})
 
 
 def handoff(bootstrap: DataFrame, live: DataFrame, key: str, start_us: int, end_us: int, checkpoint: DataFrame | None = None) -> DataFrame:
