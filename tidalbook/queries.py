@@ -12,7 +12,7 @@ from tidalbook.operators import anomaly, asof, compare, dedup, gaps, quality, re
 from tidalbook.plans import features, recompute, trading, transformers
 from tidalbook.plans.definitions import FeatureSet, default_set, node
 from tidalbook.session import scratch_path
-from tidalbook.sources import feature_store, instruments, lake, quarantine, replay, runs, snapshots, versions
+from tidalbook.sources import contracts, feature_store, instruments, lake, quarantine, replay, runs, snapshots, versions
 from tidalbook.sources.events import market_events, micros, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -816,6 +816,52 @@ def versioned_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.read_layouts(spark, base, "trades", "prod", by_partition=True).select(*ID, "price", "normalizer_version")
 
 
+def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as normalized trades; the metadata of some lack a key of either mode, some are raw trades."""
+    n, text = F.col("arrival_seq"), F.col("arrival_seq").cast("string")
+    keys = {c: F.lit("x") for c in (*contracts.KEYS, *contracts.STRICT_KEYS)}
+    keys |= {"instrument_snapshot": F.when(n % 7 != 0, "x"), "raw_run_id": F.when(n % 5 != 0, "x").otherwise(""), contracts.FEED_KIND: F.lit("aggregate_trade")}
+    rows = market_events(spark, sf_dir)
+    fixed = {c: F.lit("x") for c in (*contracts.COLUMNS, *contracts.STRICT_COLUMNS, "trade_id", "side") if c not in ("symbol", "event_ts", "source", "metadata")}
+    more = {"env": F.lit("prod"), "venue": F.lit("BINANCE"), "date": F.to_date("event_ts"), contracts.FEED_KIND: F.when(n % 11 == 0, "raw_trade"), "raw_run_id": F.col("kind"), "raw_ingestion_seq": text}
+    return rows.withColumns(fixed | more | {"metadata": F.create_map(*[part for k, v in keys.items() for part in (F.lit(k), v)])})
+
+
+CONTRACT = f"""{EV}, f AS (SELECT symbol, CAST(event_ts AS DATE) AS date, count(*) AS row_count, min_by(arrival_seq, (event_us, arrival_seq)) AS n FROM ev GROUP BY ALL),
+c AS (SELECT symbol, date, row_count, n % 7 <> 0 AND n % 11 <> 0 AS relaxed, n % 7 <> 0 AND n % 5 <> 0 AND n % 11 <> 0 AS strict, n FROM f)"""
+
+
+@registered(f"""{CONTRACT} SELECT symbol, date, row_count, concat_ws(',', CASE WHEN n % 7 = 0 THEN 'instrument_snapshot' END, CASE WHEN n % 5 = 0 THEN 'raw_run_id' END) AS missing_keys,
+CASE WHEN n % 11 = 0 THEN 'raw_trade' ELSE 'aggregate_trade' END AS historical_feed_kind, strict AS pass_ok FROM c""")
+def contract_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contracts.records(_normalized(spark, sf_dir), ["event_us", "arrival_seq"])
+    return found.select("symbol", "date", "row_count", F.array_join("missing_keys", ",").alias("missing_keys"), contracts.FEED_KIND, "pass_ok")
+
+
+@registered(f"""{CONTRACT}, h AS (SELECT symbol, CAST(event_ts AS DATE) AS date, count(*) FILTER (arrival_seq % 200 = 0) AS lost FROM ev GROUP BY ALL),
+r AS (SELECT symbol, date, concat_ws(',', CASE WHEN NOT strict AND relaxed THEN '{contracts.REASON_COMPAT_ONLY}' WHEN NOT strict THEN '{contracts.REASON_CONTRACT}' END, CASE WHEN lost > 0 THEN '{contracts.REASON_PARITY}' END) AS reasons FROM c JOIN h USING (symbol, date))
+SELECT symbol, date, reasons, reasons = '' AS promoted FROM r""")
+def dataset_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions of all events for paper trading; the replay lacks every 200th event, and repeats some."""
+    rows, order = _normalized(spark, sf_dir), ["event_us", "arrival_seq"]
+    replayed = rows.where("arrival_seq % 200 <> 0")
+    differing = contracts.parity(replayed.union(replayed.where("arrival_seq % 3 = 0")), rows, contracts.PARTITION, "arrival_seq", order)
+    strict, relaxed = contracts.records(rows, order), contracts.records(rows, order, contracts.COMPAT)
+    return contracts.promotions(strict, relaxed, differing, "paper").select("symbol", "date", F.array_join("reasons", ",").alias("reasons"), "promoted")
+
+
+@registered(f"""{EV}, e AS (SELECT symbol, count(*) AS row_count, count(*) FILTER (day(event_ts) <= 15) AS early FROM ev GROUP BY symbol)
+SELECT symbol, early AS row_count, 1 AS valid_from_us, CASE WHEN early < row_count THEN 2 END AS valid_to_us FROM e WHERE early > 0
+UNION ALL SELECT symbol, row_count, 2, NULL FROM e WHERE early < row_count""")
+def contract_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry after the first half of a month, then after the whole, then once more with nothing new."""
+    rows, order, part = _normalized(spark, sf_dir), ["event_us", "arrival_seq"], ("env", "venue", "symbol")
+    half, whole = (contracts.records(df, order, partition=part) for df in (rows.where(F.day("event_ts") <= 15), rows))
+    history = contracts.merged(contracts.merged(None, half, 1), whole, 2)
+    out = contracts.merged(history, whole, 3).select("symbol", "row_count", "valid_from_us", "valid_to_us")
+    return out.withColumns({c: F.col(c).cast("int") for c in ("valid_from_us", "valid_to_us")})
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
