@@ -14,6 +14,7 @@ from tidalbook.plans.definitions import FeatureSet, default_set, node
 from tidalbook.session import scratch_path
 from tidalbook.sources import contracts, feature_store, instruments, lake, quarantine, replay, runs, snapshots, versions
 from tidalbook.sources.events import market_events, micros, read_table
+from tidalbook.streaming import telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -862,6 +863,21 @@ def contract_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: F.col(c).cast("int") for c in ("valid_from_us", "valid_to_us")})
 
 
+@registered("""WITH e AS (SELECT 'BINANCE:U' || user_id || ':trade' AS scope, event_id AS n, 'run-' || event_type AS run FROM events)
+SELECT scope, CASE WHEN max(n) % 10 = 0 OR max(n) % 4 > 0 THEN 'degraded' ELSE 'ok' END AS status, coalesce(max_by(run, n) FILTER (n % 10 <> 0), min_by(run, n)) AS run_id FROM e GROUP BY scope""")
+def telemetry_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as telemetry, one of ten as health and the rest as summaries of their user's stream, landed by a stream and folded."""
+    base, n = scratch_path(spark, "telemetry"), F.col("event_id")
+    said = [F.lit("live").alias("mode"), F.concat(F.lit("run-"), "event_type").alias("trace_id"), F.format_string("at %012d", n).alias("recorded_at")]
+    symbol = F.concat(F.lit("U"), F.col("user_id").cast("string"))
+    one = F.struct(F.lit("binance").alias("venue"), symbol.alias("symbol"), F.lit("trade").alias("stream_type"), (n % 4).alias("gaps_total"))
+    rows = read_table(spark, sf_dir, "events")
+    rows.where(n % 10 != 0).select(F.to_json(F.struct(*said, F.array(one).alias("stream_metrics")))).write.text(f"{base}/in/{telemetry.SUMMARY}")
+    rows.where(n % 10 == 0).select(F.to_json(F.struct(*said, F.array(F.concat(F.lit("BINANCE:"), symbol, F.lit(":trade"))).alias("streams_degraded")))).write.text(f"{base}/in/{telemetry.HEALTH}")
+    telemetry.land(spark, f"{base}/in", f"{base}/log", f"{base}/state", "*.txt").awaitTermination()
+    return telemetry.streams(telemetry.landed(spark, f"{base}/log")).select("scope", "status", "run_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
