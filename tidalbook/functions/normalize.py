@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidalbook.operators.scan import fresh
+
 Normalizer = Callable[[DataFrame], DataFrame]
 _normalizers: dict[str, Normalizer] = {}
 VERSION = "v1"
@@ -23,10 +25,9 @@ def register_normalizer(kind: str, fn: Normalizer) -> None:
 
 
 def _text(path: str) -> Column:
-    """A field of the parsed body; names differ by case, so it is a map and no struct."""
+    """A field of the parsed body, or after ``k.`` of its bar (see ``open_bar``); names differ by case, so both are maps and no structs."""
     first, _, rest = path.partition(".")
-    found = F.try_element_at("fields", F.lit(first))
-    return F.try_element_at(F.from_json(found, "map<string,string>"), F.lit(rest)) if rest else found
+    return F.try_element_at("bar_fields", F.lit(rest)) if rest else F.try_element_at("fields", F.lit(first))
 
 
 def _double(path: str) -> Column:
@@ -37,14 +38,25 @@ def _ms(path: str) -> Column:
     return F.timestamp_millis(_text(path).try_cast("bigint"))
 
 
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Rows with the column ``name``, which is computed once a row whatever asks for it.
+
+    A plain column would be written out again in each filter and field that
+    reads it, and Spark moves filters below plain columns but not below a generator.
+    """
+    return rows.withColumn(name, F.explode(F.array(value)))
+
+
 def open_envelope(messages: DataFrame) -> DataFrame:
     """Add body (the ``data`` part or the whole), its fields, stream, and kind (canonical, null if unknown).
 
     What is no JSON object has no fields. Message and body are parsed once each.
     """
-    outer = messages.withColumn("fields", F.from_json("payload", "map<string,string>"))
-    out = outer.withColumns({"body": F.coalesce(F.try_element_at("fields", F.lit("data")), F.col("payload")), "stream": F.try_element_at("fields", F.lit("stream"))})
-    out = out.withColumn("fields", F.when(F.map_contains_key("fields", "data"), F.from_json("body", "map<string,string>")).otherwise(F.col("fields")))
+    (whole,) = fresh(messages.columns, "whole")
+    outer = _once(messages, whole, F.from_json("payload", "map<string,string>"))
+    data = F.try_element_at(whole, F.lit("data"))
+    out = _once(outer, "fields", F.when(data.isNotNull(), F.from_json(data, "map<string,string>")).otherwise(F.col(whole)))
+    out = out.withColumns({"body": F.coalesce(data, F.col("payload")), "stream": F.try_element_at(whole, F.lit("stream"))}).drop(whole)
     said = F.lower(F.coalesce(_text("e"), F.regexp_extract("stream", "@([A-Za-z]+)", 1)))
     kind = F.when(F.lit(False), F.lit(None).cast("string"))
     for canonical, names in EVENT_NAMES.items():
@@ -52,59 +64,77 @@ def open_envelope(messages: DataFrame) -> DataFrame:
     return out.withColumn("kind", kind)
 
 
-def trades(opened: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed trades, with the columns ``keep``; the buyer as maker means that the taker sold."""
+def open_bar(opened: DataFrame) -> DataFrame:
+    """Add bar_fields: the fields of a bar's own part, parsed once; null in messages of other kinds."""
+    return _once(opened, "bar_fields", F.when(F.col("kind") == "kline", F.from_json(_text("k"), "map<string,string>")))
+
+
+def _event(exchange_ts: Column, **rest: Column) -> dict[str, Column]:
+    return {"symbol": F.upper(F.trim(_text("s"))), "exchange_ts": exchange_ts, **rest, "normalizer_version": F.lit(VERSION)}
+
+
+def trade_columns() -> dict[str, Column]:
     maker = F.lower(_text("m"))
-    return opened.where("kind = 'trade'").select(
-        F.upper(F.trim(_text("s"))).alias("symbol"),
-        _ms("E").alias("exchange_ts"),
-        _double("p").alias("price"),
-        _double("q").alias("size"),
-        F.coalesce(_text("a"), _text("t")).alias("trade_id"),
-        F.when(maker == "true", "sell").when(maker == "false", "buy").alias("side"),
-        F.lit(VERSION).alias("normalizer_version"),
-        *keep,
+    return _event(
+        _ms("E"),
+        price=_double("p"),
+        size=_double("q"),
+        trade_id=F.coalesce(_text("a"), _text("t")),
+        side=F.when(maker == "true", "sell").when(maker == "false", "buy"),
+    )
+
+
+def bar_columns() -> dict[str, Column]:
+    """Of messages whose bar is open."""
+    return _event(
+        F.coalesce(_ms("k.T"), _ms("E")),
+        provider_ts=F.when(~_ms("E").eqNullSafe(_ms("k.T")), _ms("E")),
+        open=F.coalesce(_double("k.o"), _double("k.c")),
+        high=F.coalesce(_double("k.h"), _double("k.c")),
+        low=F.coalesce(_double("k.l"), _double("k.c")),
+        close=_double("k.c"),
+        volume=_double("k.q"),
+        interval=_text("k.i"),
+        open_ts=_ms("k.t"),
+        close_ts=_ms("k.T"),
     )
 
 
+def book_columns(received: Column | None = None) -> dict[str, Column]:
+    """``received`` stands in for a time that a quote has not."""
+    bid, ask = _double("b"), _double("a")
+    return _event(
+        F.coalesce(_ms("E"), F.lit(None).cast("timestamp") if received is None else received),
+        bid_price=bid,
+        bid_size=_double("B"),
+        ask_price=ask,
+        ask_size=_double("A"),
+        sequence_id=_text("u"),
+        price=F.when((bid != 0) & (ask != 0), (bid + ask) / 2).when(bid != 0, bid).otherwise(ask),
+    )
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [c.alias(n) for n, c in columns.items()]
+
+
+def trades(opened: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed trades, with the columns ``keep``; the buyer as maker means that the taker sold."""
+    return opened.where("kind = 'trade'").select(*_named(trade_columns()), *keep)
+
+
 def bars(opened: DataFrame, closed_only: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Typed bars, with the columns ``keep``; open, high and low stand in for by the close, the volume is the quote's."""
-    rows = opened.where("kind = 'kline'")
+    rows = open_bar(opened.where("kind = 'kline'"))
     if closed_only:
         rows = rows.where(F.coalesce(F.lower(_text("k.x")), F.lit("true")) != "false")
-    exchange = F.coalesce(_ms("k.T"), _ms("E"))
-    return rows.select(
-        F.upper(F.trim(_text("s"))).alias("symbol"),
-        exchange.alias("exchange_ts"),
-        F.when(~_ms("E").eqNullSafe(_ms("k.T")), _ms("E")).alias("provider_ts"),
-        F.coalesce(_double("k.o"), _double("k.c")).alias("open"),
-        F.coalesce(_double("k.h"), _double("k.c")).alias("high"),
-        F.coalesce(_double("k.l"), _double("k.c")).alias("low"),
-        _double("k.c").alias("close"),
-        _double("k.q").alias("volume"),
-        _text("k.i").alias("interval"),
-        _ms("k.t").alias("open_ts"),
-        _ms("k.T").alias("close_ts"),
-        F.lit(VERSION).alias("normalizer_version"),
-        *keep,
-    )
+    return rows.select(*_named(bar_columns()), *keep)
 
 
 def books(opened: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed top-of-book quotes, with the columns ``keep``; price is the mean where both sides are set, else the set one."""
-    bid, ask = _double("b"), _double("a")
-    return opened.where("kind = 'book'").select(
-        F.upper(F.trim(_text("s"))).alias("symbol"),
-        F.coalesce(_ms("E"), F.col("receive_ts") if "receive_ts" in opened.columns else F.lit(None).cast("timestamp")).alias("exchange_ts"),
-        bid.alias("bid_price"),
-        _double("B").alias("bid_size"),
-        ask.alias("ask_price"),
-        _double("A").alias("ask_size"),
-        _text("u").alias("sequence_id"),
-        F.when((bid != 0) & (ask != 0), (bid + ask) / 2).when(bid != 0, bid).otherwise(ask).alias("price"),
-        F.lit(VERSION).alias("normalizer_version"),
-        *keep,
-    )
+    received = F.col("receive_ts") if "receive_ts" in opened.columns else None
+    return opened.where("kind = 'book'").select(*_named(book_columns(received)), *keep)
 
 
 def normalize(messages: DataFrame) -> dict[str, DataFrame]:

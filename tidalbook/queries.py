@@ -652,8 +652,8 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = _stored(quarantine.identified(rows.select("event_id", broken.alias("payload"), F.col("event_id").alias("quarantined_us"))), "quarantine")
     first = _stored(quarantine.replay(held, spark.createDataFrame([], quarantine.LEDGER), 1).ledger, "ledger")
     second = quarantine.replay(held, first, 2)
-    last = first.unionByName(second.ledger).groupBy("record_id").agg(F.max("attempt").alias("attempts"), F.max_by("status", "attempt").alias("status"), F.max_by("error", "attempt").alias("error"))
-    return held.select("event_id", "record_id").join(last, "record_id").drop("record_id")
+    last = first.unionByName(second.ledger).groupBy("record_id").agg(F.max(F.struct("attempt", "status", "error")).alias("last"))
+    return held.select("event_id", "record_id").join(last, "record_id").select("event_id", F.col("last.attempt").alias("attempts"), "last.status", "last.error")
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

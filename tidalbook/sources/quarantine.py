@@ -22,13 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidalbook.functions import normalize, validators
-from tidalbook.operators.dedup import keep_first
 
 LEDGER = "record_id string, attempt bigint, status string, error string, tried_us bigint"
 REPLAYED, FAILED = "replayed", "failed"
 #: Columns without which an event of a kind is none.
 NEEDED = {"trade": ("symbol", "exchange_ts", "price", "size"), "kline": ("symbol", "exchange_ts", "close", "volume"), "book": ("symbol", "exchange_ts", "bid_price", "ask_price")}
-TYPED = {"trade": normalize.trades, "kline": lambda rows, keep: normalize.bars(rows, False, keep), "book": normalize.books}
+TYPED = {"trade": normalize.trade_columns, "kline": normalize.bar_columns, "book": normalize.book_columns}
 
 
 @dataclass(frozen=True)
@@ -61,30 +60,41 @@ def selected(records: DataFrame, symbol: str | None = None, stream_type: str | N
     return out if limit is None else out.orderBy("quarantined_us", "record_id").limit(limit)
 
 
+def _by_kind(found: dict[str, Column]) -> Column:
+    """For each row what its kind has; null for kinds that have nothing."""
+    out = F.when(F.lit(False), F.lit(None))
+    for kind, value in found.items():
+        out = out.when(F.col("kind") == kind, value)
+    return out
+
+
 def _tried(pending: DataFrame) -> DataFrame:
-    """(record_id, event, error): each record as a typed event of its kind, or why it is none."""
-    opened = normalize.open_envelope(pending.select("record_id", "payload"))
-    found = opened.where("kind is null").select("record_id", F.lit(None).cast("string").alias("kind"), F.lit("no message of a known kind").alias("error"))
-    out = None
-    for kind, typed in TYPED.items():
-        rows = typed(opened, keep=["record_id"]).withColumn("kind", F.lit(kind))
-        missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(f"missing_{c}")) for c in NEEDED[kind]]), lambda m: m.isNotNull())
-        rows = rows.withColumn("error", F.nullif(F.array_join(F.array_distinct(F.concat(missing, validators.event_reasons(rows.columns))), ","), F.lit("")))
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return out.unionByName(found, allowMissingColumns=True)
+    """Each record as a typed event of its kind, with record_id, attempts, kind and error: why it is none.
+
+    One pass for all kinds, so that a record is read and parsed once.
+    """
+    opened = normalize.open_bar(normalize.open_envelope(pending))
+    typed = {kind: columns() for kind, columns in TYPED.items()}
+    names = dict.fromkeys(n for columns in typed.values() for n in columns)
+    rows = opened.select("record_id", "attempts", "kind", *[_by_kind({k: columns[n] for k, columns in typed.items() if n in columns}).alias(n) for n in names])
+    why = {}
+    for kind, columns in typed.items():
+        missing = [F.when(F.col(c).isNull(), F.lit(f"missing_{c}")) for c in NEEDED[kind]]
+        why[kind] = F.concat_ws(",", *missing, validators.event_reasons(list(columns)))
+    rows = rows.withColumn("why", _by_kind(why))
+    return rows.withColumn("error", F.when(F.col("kind").isNull(), F.lit("no message of a known kind")).otherwise(F.nullif("why", F.lit("")))).drop("why")
 
 
 def replay(records: DataFrame, ledger: DataFrame, now_us: int) -> Replayed:
     """Events of the records (from ``identified`` or ``selected``) that pass now, and the ledger rows of this attempt."""
-    once = keep_first(records.select("record_id", "payload", "quarantined_us"), ["record_id"], ["quarantined_us", "payload"])
+    once = records.groupBy("record_id").agg(F.min(F.struct("quarantined_us", "payload")).alias("first"))
     known = ledger.groupBy(F.col("record_id").alias("known_id")).agg(F.max("attempt").alias("attempts"), F.bool_or(F.col("status") == REPLAYED).alias("done"))
     pending = once.join(known, F.col("record_id") == F.col("known_id"), "left").where(~F.coalesce("done", F.lit(False)))
-    attempt = pending.select(F.col("record_id").alias("tried_id"), (F.coalesce("attempts", F.lit(0)) + 1).alias("attempt"))
-    tried = _tried(pending)
+    tried = _tried(pending.select("record_id", "attempts", "first.payload"))
     status = F.when(F.col("error").isNull(), REPLAYED).otherwise(FAILED)
-    rows = tried.select("record_id", "error").join(attempt, F.col("record_id") == F.col("tried_id"))
-    written = rows.select("record_id", F.col("attempt").cast("bigint").alias("attempt"), status.alias("status"), "error", F.lit(now_us).cast("bigint").alias("tried_us"))
-    return Replayed(tried.where(F.col("error").isNull()).drop("error"), written)
+    attempt = (F.coalesce("attempts", F.lit(0)) + 1).cast("bigint")
+    written = tried.select("record_id", attempt.alias("attempt"), status.alias("status"), "error", F.lit(now_us).cast("bigint").alias("tried_us"))
+    return Replayed(tried.where(F.col("error").isNull()).drop("error", "attempts"), written)
 
 
 def report(written: DataFrame) -> DataFrame:
