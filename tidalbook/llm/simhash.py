@@ -52,11 +52,10 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,27 +64,103 @@ from tidalbook.llm._shared import forget, fresh, marked, new_path, row_slices, s
 SEED = 42
 BLOCKS = 8
 RADIUS = 2
-HASHES_AT_ONCE = 1 << 16
+HASHES_AT_ONCE, WORDS_AT_ONCE = 1 << 16, 1 << 13
 SIMILARITY = 0.8
 GROUPS, LEAST = 10, 3
 PIVOTS = (1, 8)
 COUNTERS = 1 << 20
 
+#: Lower-cases A-Z and turns all white space of ASCII into spaces.
+_FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t\n\x0b\x0c\r", bytes(range(97, 123)) + b"     ")
+
 #: An odd factor for each group; the products order the shingles.
 FACTORS = np.array([int.from_bytes(hashlib.sha256(bytes([g])).digest()[:8], "little") | 1 for g in range(GROUPS)], dtype=np.uint64)
+INVERSES = np.array([pow(int(f), -1, 1 << 64) for f in FACTORS], dtype=np.uint64)
+
+
+def xxh64_slices(data: bytes, starts: np.ndarray, ends: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """XXH64 of each data[start:end], all at once: every step of the hash takes the slices that are long enough for it."""
+    whole = np.frombuffer(data + bytes(8), dtype=np.uint8)
+    words = np.lib.stride_tricks.as_strided(whole.view(np.uint8), (len(data) + 1, 8), (1, 1)).view("<u8")[:, 0]  # the eight bytes from each place on
+    back = starts - ends
+    order = np.argsort(back.astype(np.int16) if len(back) and back.min() > -(1 << 15) else back, kind="stable")  # the longest first, so those that take part in a step stand in front
+    at, left = starts[order].astype(np.int64), back[order].astype(np.int64)
+    length = -left
+    total = length.astype(np.uint64)
+    one, two, three, four, five = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, by: (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+    mixed = lambda lane, word: turn(lane + word * two, 31) * one
+    add = lambda *terms: np.uint64(sum(int(t) for t in terms) % (1 << 64))
+    long = int(np.searchsorted(left, -32, side="right"))
+    hashed = np.full(len(at), add(seed, five), dtype=np.uint64)
+    if long:
+        lanes = [np.full(long, v, dtype=np.uint64) for v in (add(seed, one, two), add(seed, two), add(seed), add(seed, -int(one)))]
+        for stripe in range(int(length[0]) // 32):
+            n = int(np.searchsorted(left, -32 * (stripe + 1), side="right"))
+            for k, lane in enumerate(lanes):
+                lane[:n] = mixed(lane[:n], words[at[:n] + (32 * stripe + 8 * k)])
+        joined = turn(lanes[0], 1) + turn(lanes[1], 7) + turn(lanes[2], 12) + turn(lanes[3], 18)
+        for lane in lanes:
+            joined = (joined ^ mixed(np.zeros(long, dtype=np.uint64), lane)) * one + four
+        hashed[:long] = joined
+    hashed += total
+    at, rest = at + length // 32 * 32, length % 32
+    for k in range(3):
+        some = np.flatnonzero(rest >= 8 * (k + 1))
+        if len(some):
+            word = mixed(np.zeros(len(some), dtype=np.uint64), words[at[some] + 8 * k])
+            hashed[some] = turn(hashed[some] ^ word, 27) * one + four
+    at, rest = at + rest // 8 * 8, rest % 8
+    some = np.flatnonzero(rest >= 4)
+    if len(some):
+        hashed[some] = turn(hashed[some] ^ ((words[at[some]] & np.uint64(0xFFFFFFFF)) * one), 23) * two + three
+    at, rest = at + rest // 4 * 4, rest % 4
+    for k in range(3):
+        some = np.flatnonzero(rest > k)
+        if len(some):
+            hashed[some] = turn(hashed[some] ^ (whole[at[some] + k].astype(np.uint64) * five), 11) * one
+    hashed = (hashed ^ (hashed >> np.uint64(33))) * two
+    hashed = (hashed ^ (hashed >> np.uint64(29))) * three
+    hashed ^= hashed >> np.uint64(32)
+    out = np.empty_like(hashed)
+    out[order] = hashed
+    return out
+
+
+def shingle_hashes_of(texts: Iterable[str | None], size: int) -> Iterator[np.ndarray]:
+    """For each text the XXH64 of each shingle; the whole sequence is one if the text has fewer words. About WORDS_AT_ONCE words are hashed together."""
+    held: list[bytes] = []
+    counts: list[int] = []
+    n = 0
+
+    def hashed() -> Iterator[np.ndarray]:
+        data = b" ".join(held)
+        ends = np.append(np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 32), len(data))
+        starts = np.append(0, ends[:-1] + 1)
+        first = np.cumsum([0, *counts])
+        shingles = np.array([max(n - size + 1, 1) if n else 0 for n in counts], dtype=np.int64)
+        bounds = np.cumsum([0, *shingles])
+        opens = np.repeat(first[:-1] - bounds[:-1], shingles) + np.arange(bounds[-1])
+        closes = np.minimum(opens + size, np.repeat(first[1:], shingles)) - 1
+        found = xxh64_slices(data, starts[opens], ends[closes])
+        yield from (found[a:b] for a, b in pairwise(bounds.tolist()))
+
+    for text in texts:
+        words = (text or "").encode("utf-8", "surrogatepass").translate(_FOLD)
+        if b"  " in words or words[:1] == b" " or words[-1:] == b" ":
+            words = b" ".join(words.split())
+        counts.append(words.count(b" ") + 1 if words else 0)
+        if words:
+            held.append(words)
+        if (n := n + counts[-1]) >= WORDS_AT_ONCE:
+            yield from hashed()
+            held, counts, n = [], [], 0
+    yield from hashed()
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
     """XXH64 of each shingle; the whole sequence is one if the text has fewer words."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    if len(words) <= size:
-        shingles: Iterable[bytes] = [b" ".join(words)]
-    else:
-        shingles = map(b" ".join, zip(*(words[k:] for k in range(size)), strict=False))
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(s, SEED) for s in shingles], dtype=np.uint64)
+    return next(shingle_hashes_of([text], size))
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -109,7 +184,11 @@ def partial_fingerprints(distinct: np.ndarray) -> list[int]:
     """For each group the fingerprint of those of the different shingles that its order puts first."""
     if len(distinct) <= LEAST:
         return [majority(distinct)] * GROUPS
-    return [majority(distinct[np.argpartition(distinct * factor, LEAST - 1)[:LEAST]]) for factor in FACTORS]
+    least = np.partition(distinct * FACTORS[:, None], LEAST - 1, axis=1)[:, :LEAST] * INVERSES[:, None]
+    if LEAST == 3:  # two of three
+        a, b, c = least.T
+        return ((a & b) | (a & c) | (b & c)).tolist()
+    return [majority(row) for row in least]
 
 
 def fingerprints(docs: DataFrame, size: int = 3, parts: bool = False) -> DataFrame:
@@ -125,7 +204,7 @@ def fingerprints(docs: DataFrame, size: int = 3, parts: bool = False) -> DataFra
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_slices(batches):
-            hashes = [shingle_hashes(t, size) for t in part.column(1).to_pylist()]
+            hashes = list(shingle_hashes_of(part.column(1).to_pylist(), size))
             columns = [part.column(0), pa.array(signed([majority(h) for h in hashes]))]
             if parts:
                 sets = [np.unique(h) for h in hashes]
@@ -329,7 +408,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in row_slices(batches):
-            sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in part.column(1).to_pylist()]
+            sets = [np.unique(h).view(np.int64) for h in shingle_hashes_of(part.column(1).to_pylist(), size)]
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             own = pa.array([hashlib.sha256(s.tobytes()).digest()[:16] for s in sets], pa.binary())
             hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *sets])))

@@ -55,6 +55,9 @@ EM_ROUNDS = 30
 SEEDS = ("asshole", "bastard", "clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
+#: Signs that are neither ASCII nor Latin letters; texts without them are cut as bytes.
+_OTHER = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]").search
+_LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
 def features(text: str | None) -> tuple[set[str], set[str]]:
@@ -63,6 +66,14 @@ def features(text: str | None) -> tuple[set[str], set[str]]:
     return words, {w[:n] for n in STEMS for w in words if len(w) >= n}
 
 
+def encoded_words(text: str | None) -> set[bytes]:
+    """The different words of ``features``, in UTF-8."""
+    lower = (text or "").lower()
+    if lower.isascii() or not _OTHER(lower):
+        return set(lower.encode().translate(_LETTERS).split())
+    return {w.encode("utf-8", "surrogatepass") for w in _WORDS(lower)}
+
+
 def held_out(doc_id: Column) -> Column:
     """True for rows of which no label may be learned; false without a doc_id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
@@ -76,17 +87,20 @@ class Model:
     stem: dict[str, int]
     weights: np.ndarray
     bias: float
-    heads: frozenset[str] = field(init=False)
+    encoded: dict[bytes, int] = field(init=False)
+    heads: frozenset[bytes] = field(init=False)
 
     def __post_init__(self) -> None:
-        self.heads = frozenset(s[: STEMS[0]] for s in self.stem)
+        self.encoded = {w.encode("utf-8", "surrogatepass"): number for w, number in self.word.items()}
+        self.heads = frozenset(s.encode("utf-8", "surrogatepass")[: STEMS[0]] for s in self.stem)  # bytes, and no stem has fewer
 
     def votes(self, text: str | None) -> list[int]:
-        words = set(_WORDS((text or "").lower()))
-        fired = {self.word[w] for w in self.word.keys() & words}
+        words = encoded_words(text)
+        fired = {self.encoded[w] for w in self.encoded.keys() & words}
         shortest, heads = STEMS[0], self.heads
-        for w in words:
-            if w[:shortest] in heads:
+        for encoded in words:
+            if encoded[:shortest] in heads:
+                w = encoded.decode("utf-8", "surrogatepass")
                 for n in STEMS:
                     number = self.stem.get(w[:n])
                     if number is not None:
